@@ -1,0 +1,98 @@
+"""A user-defined source: replays a folder of parquet files through the Python data source API.
+
+Rows never pass the driver; it only lists files. As a batch source every file is read by ``stripes``
+tasks, each taking every n-th row group. As a stream, the offset is the number of files read (in name
+order), so a restarted query continues exactly where its checkpoint says; ``until`` fixes the last file and
+makes the stream bounded.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.types import StructType
+
+FORMAT = "parquet_replay"
+
+
+class Stripe(InputPartition):
+    def __init__(self, path: str, number: int, of: int):
+        self.path, self.number, self.of = path, number, of
+
+
+class _Files:
+    def __init__(self, options: dict[str, str], schema: StructType):
+        self.path = options["path"]
+        self.stripes = int(options.get("stripes", "1"))
+        self.until = int(options["until"]) if "until" in options else None
+        self.columns = schema.fieldNames()
+
+    def listed(self) -> list[str]:
+        fs, root = pafs.FileSystem.from_uri(self.path)
+        info = fs.get_file_info(root)
+        if info.type == pafs.FileType.File:
+            return [root]
+        found = fs.get_file_info(pafs.FileSelector(root))
+        return sorted(f.path for f in found if f.extension == "parquet")
+
+    def stripes_of(self, files: list[str]) -> list[Stripe]:
+        return [Stripe(f, n, self.stripes) for f in files for n in range(self.stripes)]
+
+    def read_stripe(self, stripe: Stripe) -> Iterator[pa.RecordBatch]:
+        fs, _ = pafs.FileSystem.from_uri(self.path)
+        with fs.open_input_file(stripe.path) as handle:
+            file = pq.ParquetFile(handle)
+            groups = list(range(stripe.number, file.num_row_groups, stripe.of))
+            yield from file.iter_batches(row_groups=groups, columns=self.columns)
+
+
+class _BatchReader(_Files, DataSourceReader):
+    def partitions(self):
+        return self.stripes_of(self.listed())
+
+    def read(self, partition):
+        return self.read_stripe(partition)
+
+
+class _StreamReader(_Files, DataSourceStreamReader):
+    def initialOffset(self):
+        return {"files": 0}
+
+    def latestOffset(self):
+        count = len(self.listed())
+        return {"files": count if self.until is None else min(count, self.until)}
+
+    def partitions(self, start, end):
+        return self.stripes_of(self.listed()[start["files"] : end["files"]])
+
+    def read(self, partition):
+        return self.read_stripe(partition)
+
+    def commit(self, end):
+        pass
+
+
+class ReplaySource(DataSource):
+    """Options: ``path`` (URI), ``stripes``, ``until``. The schema must be declared by the reader."""
+
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def schema(self):
+        raise ValueError(f"declare the columns to read: spark.read.format({FORMAT!r}).schema(...)")
+
+    def reader(self, schema: StructType):
+        return _BatchReader(self.options, schema)
+
+    def streamReader(self, schema: StructType):
+        return _StreamReader(self.options, schema)
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(ReplaySource)
