@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import durations
 from tidemark.operators.ordered import Run, running
@@ -28,16 +28,15 @@ def classify(
     delay: timedelta = timedelta(seconds=2),
     lateness: timedelta = timedelta(seconds=30),
     width: int | None = None,
+    seen_before: Column | None = None,
 ) -> DataFrame:
-    """Add ``window_start``, ``window_end`` and ``lateness``."""
-    seen = running(df, [], arrival, {"_seen": Run("max", F.col(ts), inclusive=False)}, width=width)
-    return with_lateness(seen, ts, F.col("_seen"), size, delay, lateness).drop("_seen")
+    """Add ``window_start``, ``window_end`` and ``lateness``.
 
-
-def with_lateness(df: DataFrame, ts: str, seen, size: timedelta, delay: timedelta, lateness: timedelta) -> DataFrame:
-    """The classification itself, given the largest event time ``seen`` before each row."""
-    window = F.window(ts, durations.text(size))
-    windowed = df.withColumn("_w", window)
+    ``seen_before`` is the largest event time that came before the first row, if any.
+    """
+    seen_rows = running(df, [], arrival, {"_seen": Run("max", F.col(ts), inclusive=False)}, width=width)
+    seen = F.col("_seen") if seen_before is None else F.greatest("_seen", seen_before)
+    windowed = seen_rows.withColumn("_w", F.window(ts, durations.text(size)))
     closes = F.col("_w").end + durations.literal(delay)
     verdict = (
         F.when(seen >= closes + durations.literal(lateness), LATE).when(seen >= closes, REFIRE).otherwise(ON_TIME)
