@@ -20,8 +20,13 @@ def window_join(
     size: timedelta = timedelta(seconds=5),
 ) -> DataFrame:
     """Pairs with equal key in the same tumbling window. Column names of the two sides must differ."""
-    lw = left.withColumn("_lw", F.window(ts[0], durations.text(size)))
-    rw = right.withColumn("_rw", F.window(ts[1], durations.text(size)))
+
+    def windowed(side: DataFrame, time: str, name: str) -> DataFrame:
+        with_window = side.withColumn(name, F.window(time, durations.text(size)))
+        # a stream may carry one watermarked column; from here on it is the window
+        return with_window.withColumn(time, F.col(time) + durations.literal(timedelta(0))) if side.isStreaming else with_window
+
+    lw, rw = windowed(left, ts[0], "_lw"), windowed(right, ts[1], "_rw")
     joined = lw.join(rw, (F.col(key[0]) == F.col(key[1])) & (F.col("_lw") == F.col("_rw")))
     return joined.select(
         F.col("_lw").start.alias("window_start"), F.col("_lw").end.alias("window_end"), *left.columns, *right.columns

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark import durations
-from tidemark.session import ensure_checkpoint_dir
-
-_SLICES_PER_CHECKPOINT = 12
 
 
 def event_time_timers(df: DataFrame, key: str, ts: str, delay: timedelta = timedelta(seconds=10)) -> DataFrame:
@@ -19,70 +19,47 @@ def event_time_timers(df: DataFrame, key: str, ts: str, delay: timedelta = timed
     return arrivals.unionByName(fires)
 
 
-def periodic_count(df: DataFrame, key: str, ts: str, period: timedelta = timedelta(seconds=10)) -> DataFrame:
-    """Rows per key so far, reported ``period`` after an anchor row.
+def periodic_count(df: DataFrame, key: str, ts: str = "timestamp", period: timedelta = timedelta(seconds=10)) -> DataFrame:
+    """Rows per key so far, reported ``period`` after an anchor row. ``ts`` is in epoch milliseconds.
 
     The first anchor is the key's first row; the next one is the first row after a report. A report at
     ``fire_ts`` counts all rows with ``ts <= fire_ts``.
 
-    Reports of a key are more than ``period`` apart, so a time slice as long as the period holds at most
-    one. The slices are therefore worked off in time order, carrying one row per key: its pending report
-    and its count. Each step reads only its own slice (the time filter reaches the scan) and reduces it
-    per key with map-side combine, so all steps together read the input once and no key's rows are ever
-    gathered.
+    Every anchor depends on the report before it, so a key must be walked in time order. What is walked
+    are *ticks*: rows are first counted per key and millisecond, with map-side combine and spread over
+    all tasks, so a key contributes at most one row per millisecond of its history however many rows it
+    has. A task then streams its sorted ticks in Arrow batches, holding one pending report and one count,
+    and jumps from anchor to anchor by binary search.
     """
-    width = durations.micros(period)
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    low, high = df.agg(F.min(at), F.max(at)).first()
-    spark = df.sparkSession
-    if low is None:
-        low, high = 0, -1
-    naive = df.schema[ts].dataType.typeName() == "timestamp_ntz"
-    bound = "timestamp_ntz" if naive else "timestamp"
+    ticks = df.groupBy(key, F.col(ts).alias("tick")).agg(F.count(F.lit(1)).alias("n"))
+    width = durations.micros(period) // 1000
+    schema = T.StructType([df.schema[key], T.StructField("fire_ts", T.LongType()), T.StructField("cnt", T.LongType())])
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, started, total, due = None, False, 0, None
+        for batch in batches:
+            keys, at = batch[key].to_numpy(), batch["tick"].to_numpy()
+            counts = batch["n"].to_numpy()
+            borders = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)] if len(keys) else [0]
+            reports = []
+            for low, high in zip(borders[:-1], borders[1:]):
+                if not started or keys[low] != current:
+                    if due is not None:
+                        reports.append((current, due, total))
+                    current, started, total, due = keys[low], True, 0, None
+                run, seen = at[low:high], np.cumsum(counts[low:high])
+                position = 0
+                while position < len(run):
+                    if due is None:
+                        due = int(run[position]) + width
+                    position = int(np.searchsorted(run, due, side="right"))
+                    if position < len(run):
+                        reports.append((current, due, total + int(seen[position - 1] if position else 0)))
+                        due = None
+                total += int(seen[-1])
+            if reports:
+                yield pd.DataFrame(reports, columns=[key, "fire_ts", "cnt"])
+        if due is not None:
+            yield pd.DataFrame([(current, due, total)], columns=[key, "fire_ts", "cnt"])
 
-    # one row per key: rows counted so far, and the end of the open period (NULL: none open)
-    state = spark.createDataFrame([], df.select(key).schema).select(
-        F.col(key), F.lit(0).cast("long").alias("total"), F.lit(None).cast("long").alias("due")
-    )
-    reports = []
-    first, last = low // width, (high // width) + 1
-    for number, piece in enumerate(range(first, last + 1)):
-        start, end = piece * width, (piece + 1) * width
-        in_slice = df.where(
-            (F.col(ts) >= F.timestamp_micros(F.lit(start)).cast(bound)) & (F.col(ts) < F.timestamp_micros(F.lit(end)).cast(bound))
-        ).select(F.col(key), at.alias("_at"))
-        # a period that ends in this slice splits the slice's rows in two
-        joined = in_slice.join(state.select(key, "due"), key, "left")
-        counted = F.col("due").isNotNull() & (F.col("_at") <= F.col("due"))
-        per_key = joined.groupBy(key).agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count_if(counted).alias("_until_due"),
-            F.min(F.when(~counted, F.col("_at"))).alias("_anchor"),
-        )
-        merged = state.join(per_key, key, "full").select(
-            key,
-            F.coalesce("total", F.lit(0)).alias("_total"),
-            F.col("due"),
-            F.coalesce("_rows", F.lit(0)).alias("_rows"),
-            F.coalesce("_until_due", F.lit(0)).alias("_until_due"),
-            "_anchor",
-        )
-        due_here = F.col("due").isNotNull() & (F.col("due") < F.lit(end))
-        step = merged.select(
-            key,
-            (F.col("_total") + F.col("_rows")).alias("total"),
-            F.when(F.col("due").isNull() | due_here, F.col("_anchor") + F.lit(width)).otherwise(F.col("due")).alias("due"),
-            F.when(due_here, F.col("due")).alias("_fire"),
-            F.when(due_here, F.col("_total") + F.col("_until_due")).alias("cnt"),
-        )
-        if number % _SLICES_PER_CHECKPOINT == _SLICES_PER_CHECKPOINT - 1:
-            ensure_checkpoint_dir(spark)
-            step = step.checkpoint()
-        reports.append(step.where(F.col("_fire").isNotNull()).select(key, "_fire", "cnt"))
-        state = step.select(key, "total", "due")
-    if not reports:
-        return state.select(key, F.timestamp_micros("due").cast(bound).alias("fire_ts"), F.col("total").alias("cnt"))
-    result = reports[0]
-    for more in reports[1:]:
-        result = result.unionByName(more)
-    return result.select(key, F.timestamp_micros("_fire").cast(bound).alias("fire_ts"), "cnt")
+    return ticks.repartition(key).sortWithinPartitions(key, "tick").mapInPandas(walk, schema)

@@ -208,13 +208,16 @@ def event_time_timers(spark, sf):
 
 @query(
     "periodic_pv",
-    """WITH RECURSIVE fires AS (
-           SELECT user_id, min(ts) + INTERVAL 7 DAY AS fire_ts FROM events GROUP BY user_id
+    """WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms FROM events),
+       fires AS (
+           SELECT user_id, min(ms) + 604800000 AS fire_ts FROM e GROUP BY user_id
            UNION ALL
-           SELECT f.user_id, min(e.ts) + INTERVAL 7 DAY FROM fires f JOIN events e ON e.user_id = f.user_id AND e.ts > f.fire_ts
+           SELECT f.user_id, min(e.ms) + 604800000 FROM fires f JOIN e ON e.user_id = f.user_id AND e.ms > f.fire_ts
            GROUP BY f.user_id, f.fire_ts)
        SELECT f.user_id, f.fire_ts, count(*) AS cnt
-       FROM fires f JOIN events e ON e.user_id = f.user_id AND e.ts <= f.fire_ts GROUP BY f.user_id, f.fire_ts""",
+       FROM fires f JOIN e ON e.user_id = f.user_id AND e.ms <= f.fire_ts GROUP BY f.user_id, f.fire_ts""",
 )
 def periodic_pv(spark, sf):
-    return timers.periodic_count(table(spark, sf, "events"), "user_id", "ts", 7 * DAY)
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    events = table(spark, sf, "events").select("user_id", millis.alias("timestamp"))
+    return timers.periodic_count(events, "user_id", "timestamp", 7 * DAY)

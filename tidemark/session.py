@@ -48,11 +48,3 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        configured = spark.conf.get(CHECKPOINT_DIR_CONF, None)
-        if configured:
-            spark.sparkContext.setCheckpointDir(configured)
-        else:
-            shared_folder(spark, "checkpoints")

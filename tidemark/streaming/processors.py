@@ -27,17 +27,25 @@ def _millis(duration: timedelta) -> int:
 
 
 def _schema(df: DataFrame, key: str, *fields: tuple[str, str]) -> T.StructType:
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
-    for name, kind in fields:
-        schema = schema.add(name, kind)
-    return schema
+    rest = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields))
+    return T.StructType([T.StructField(key, df.schema[key].dataType), *rest.fields])
 
 
-def _run(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType, time_mode: str) -> DataFrame:
-    return df.groupBy(key).transformWithState(processor, schema, "append", time_mode)
+def _run(
+    df: DataFrame, keys: str | list[str], processor: Processor, schema: T.StructType, time_mode: str
+) -> DataFrame:
+    processor.row = Row(*schema.fieldNames())
+    keys = [keys] if isinstance(keys, str) else keys
+    return df.groupBy(*keys).transformWithState(processor, schema, "append", time_mode)
 
 
-class Arrivals(StatefulProcessor):
+class Processor(StatefulProcessor):
+    """A processor that builds its output with ``self.row(...)``, in schema order."""
+
+    row: Row
+
+
+class Arrivals(Processor):
     """Handles one row at a time, in arrival order."""
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -48,10 +56,12 @@ class Arrivals(StatefulProcessor):
         raise NotImplementedError
 
 
-class InOrder(StatefulProcessor):
+class InOrder(Processor):
     """Holds rows back until the watermark passes them, then handles them in event-time order.
 
-    ``on_event`` sees every row, ``on_time`` every due time (after the rows of that time).
+    ``on_event`` sees every row in order, ``on_time`` every due time. A timer set in ``on_event`` for a time
+    the watermark has already passed comes after all rows that were waiting, so ``on_event`` must itself
+    settle what was due before its row.
     """
 
     #: columns of a row that are kept while it waits
@@ -59,31 +69,33 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = ", ".join(f"{name}: {kind}" for name, kind in (("seq", "bigint"), *self.columns))
-        self.waiting = handle.getMapState("waiting", "ts bigint", f"events array<struct<{fields}>>")
+        fields = ", ".join(f"{name} {kind}" for name, kind in (("seq", "bigint"), *self.columns))
+        # the rows of one instant are numbered; `instants` holds how many there are
+        self.instants = handle.getMapState("instants", "ts bigint", "n bigint")
+        self.waiting = handle.getMapState("waiting", "ts bigint, number bigint", fields)
         self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         pass
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        by_time: dict[int, list[tuple]] = {}
         for row in rows:
-            by_time.setdefault(row.ts, []).append((row.seq, *[row[name] for name, _ in self.columns]))
-        for ts, events in by_time.items():
-            slot = (ts,)
-            if self.waiting.containsKey(slot):
-                events = [tuple(e) for e in self.waiting.getValue(slot)[0]] + events
-            self.waiting.updateValue(slot, (events,))
-            self.handle.registerTimer(ts)
+            instant = (row.ts,)
+            n = self.instants.getValue(instant)[0] if self.instants.containsKey(instant) else 0
+            self.waiting.updateValue((row.ts, n), (row.seq, *[row[name] for name, _ in self.columns]))
+            self.instants.updateValue(instant, (n + 1,))
+            if n == 0:
+                self.handle.registerTimer(row.ts)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs()
-        slot = (now,)
-        if self.waiting.containsKey(slot):
-            events = sorted(tuple(e) for e in self.waiting.getValue(slot)[0])
-            self.waiting.removeKey(slot)
+        if self.instants.containsKey((now,)):
+            slots = [(now, number) for number in range(self.instants.getValue((now,))[0])]
+            events = sorted(tuple(self.waiting.getValue(slot)) for slot in slots)
+            for slot in slots:
+                self.waiting.removeKey(slot)
+            self.instants.removeKey((now,))
             for event in events:
                 yield from self.on_event(key, now, *event)
         yield from self.on_time(key, now)
@@ -106,8 +118,8 @@ class _CountChangelog(Arrivals):
         n = self.count.get()[0] if self.count.exists() else 0
         self.count.update((n + 1,))
         if n == 0:
-            return [Row(*key, row.seq, 0, INSERT, 1)]
-        return [Row(*key, row.seq, 0, UPDATE_BEFORE, n), Row(*key, row.seq, 1, UPDATE_AFTER, n + 1)]
+            return [self.row(*key, row.seq, 0, INSERT, 1)]
+        return [self.row(*key, row.seq, 0, UPDATE_BEFORE, n), self.row(*key, row.seq, 1, UPDATE_AFTER, n + 1)]
 
 
 def count_changelog(df: DataFrame, key: str) -> DataFrame:
@@ -130,7 +142,7 @@ class _CountWindow(Arrivals):
             self.group.update((number, n, total))
             return []
         self.group.update((number + 1, 0, 0))
-        return [Row(*key, number, total // n)]
+        return [self.row(*key, number, total // n)]
 
 
 def count_window_average(df: DataFrame, key: str, every: int = 5) -> DataFrame:
@@ -160,7 +172,7 @@ class _StateTour(Arrivals):
         self.reducing.update((first, row.ts))
         n = (self.aggregating.get()[0] if self.aggregating.exists() else 0) + 1
         self.aggregating.update((n,))
-        return [Row(*key, row.seq, previous, size, counter, first, row.ts, f"count: {n}")]
+        return [self.row(*key, row.seq, previous, size, counter, first, row.ts, f"count: {n}")]
 
 
 def keyed_state_tour(df: DataFrame, key: str) -> DataFrame:
@@ -187,7 +199,7 @@ class _ExpiringCount(Arrivals):
     def on_row(self, key, row, times):
         n = (self.count.get()[0] if self.count.exists() else 0) + 1
         self.count.update((n,))
-        return [Row(*key, row.seq, n)]
+        return [self.row(*key, row.seq, n)]
 
 
 def expiring_count(df: DataFrame, key: str, ttl: timedelta = timedelta(hours=1)) -> DataFrame:
@@ -205,7 +217,7 @@ class _PreviousAction(Arrivals):
     def on_row(self, key, row, times):
         before = self.previous.get()[0] if self.previous.exists() else None
         self.previous.update((row.action,))
-        return [] if before is None else [Row(*key, row.seq, before, row.action)]
+        return [] if before is None else [self.row(*key, row.seq, before, row.action)]
 
 
 def action_pairs(df: DataFrame, key: str) -> DataFrame:
@@ -216,7 +228,7 @@ def action_pairs(df: DataFrame, key: str) -> DataFrame:
 
 class _WatermarkProbe(Arrivals):
     def on_row(self, key, row, times):
-        return [Row(*key, row.seq, row.ts, times.getCurrentWatermarkInMs())]
+        return [self.row(*key, row.seq, row.ts, times.getCurrentWatermarkInMs())]
 
     def init(self, handle):
         pass
@@ -241,10 +253,10 @@ class _Timers(Arrivals):
     def on_row(self, key, row, times):
         base = row.ts if self.event_time else times.getCurrentProcessingTimeInMs()
         self.handle.registerTimer(base + self.delay_ms)
-        return [Row(*key, base, "arrival")]
+        return [self.row(*key, base, "arrival")]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield Row(*key, expiredTimerInfo.getExpiryTimeInMs(), "fire")
+        yield self.row(*key, expiredTimerInfo.getExpiryTimeInMs(), "fire")
 
 
 def timers(df: DataFrame, key: str, delay: timedelta = timedelta(seconds=10), event_time: bool = True) -> DataFrame:
@@ -254,7 +266,7 @@ def timers(df: DataFrame, key: str, delay: timedelta = timedelta(seconds=10), ev
     return _run(df, key, processor, schema, "EventTime" if event_time else "ProcessingTime")
 
 
-class _ManualTumble(StatefulProcessor):
+class _ManualTumble(Processor):
     def __init__(self, size_ms: int):
         self.size_ms = size_ms
 
@@ -276,7 +288,7 @@ class _ManualTumble(StatefulProcessor):
         if self.counts.containsKey(start):
             n = self.counts.getValue(start)[0]
             self.counts.removeKey(start)
-            yield Row(*key, start[0], end, n)
+            yield self.row(*key, start[0], end, n)
 
 
 def manual_tumble(df: DataFrame, key: str, size: timedelta = timedelta(seconds=10)) -> DataFrame:
@@ -294,17 +306,19 @@ class _PeriodicCount(InOrder):
         self.due = handle.getValueState("due", "ts bigint")
 
     def on_event(self, key, ts, seq):
+        reports = self.on_time(key, ts - 1)
         self.count.update(((self.count.get()[0] if self.count.exists() else 0) + 1,))
         if not self.due.exists():
             self.due.update((ts + self.period_ms,))
             self.handle.registerTimer(ts + self.period_ms)
-        return ()
+        return reports
 
     def on_time(self, key, now):
-        if self.due.exists() and self.due.get()[0] == now:
+        if self.due.exists() and self.due.get()[0] <= now:
+            due = self.due.get()[0]
             self.due.clear()
-            return [Row(*key, now, self.count.get()[0])]
-        return ()
+            return [self.row(*key, due, self.count.get()[0])]
+        return []
 
 
 def periodic_count(df: DataFrame, key: str, period: timedelta = timedelta(seconds=10)) -> DataFrame:
@@ -323,7 +337,7 @@ class _LastRows(InOrder):
     def on_event(self, key, ts, seq):
         window = [r[0] for r in self.recent.get()] + [ts] if self.recent.exists() else [ts]
         self.recent.put([(t,) for t in window[-self.preceding :]])
-        return [Row(*key, seq, sum(window) / len(window), len(window), max(window))]
+        return [self.row(*key, seq, sum(window) / len(window), len(window), max(window))]
 
 
 def last_rows(df: DataFrame, key: str, preceding: int = 3) -> DataFrame:
@@ -350,7 +364,7 @@ class _Consecutive(InOrder):
             return ()
         found = [r[0] for r in self.hits.get()] + [ts] if self.hits.exists() else [ts]
         self.hits.put([(t,) for t in found[-(self.times - 1) :]])
-        return [Row(*key, *found)] if len(found) == self.times else ()
+        return [self.row(*key, *found)] if len(found) == self.times else ()
 
 
 def consecutive(df: DataFrame, key: str, condition, times: int = 3) -> DataFrame:
@@ -378,8 +392,10 @@ class _FollowedBy(InOrder):
             self.handle.registerTimer(ts + self.within_ms)
             return ()
         self.started.clear()
-        # every open start is younger than the limit: its timer would have removed it
-        return [Row(*key, first, ts, "paid") for first in open_ if ts - first < self.within_ms]
+        in_time = [first for first in open_ if ts - first < self.within_ms]
+        # a start that is due right now has missed the limit, which is strict
+        missed = [first for first in open_ if ts - first >= self.within_ms]
+        return [self.row(*key, first, ts, "paid") for first in in_time] + [self.row(*key, first, None, "timeout") for first in missed]
 
     def on_time(self, key, now):
         if not self.started.exists():
@@ -389,7 +405,7 @@ class _FollowedBy(InOrder):
         if due:
             left = [(first,) for first in open_ if first + self.within_ms > now]
             self.started.put(left) if left else self.started.clear()
-        return [Row(*key, first, None, "timeout") for first in due]
+        return [self.row(*key, first, None, "timeout") for first in due]
 
 
 def followed_by(df: DataFrame, key: str, first, second, within: timedelta = timedelta(minutes=15)) -> DataFrame:
@@ -417,14 +433,14 @@ class _Reconcile(InOrder):
         for app_seq, app_ts in partners:
             self.apps.updateValue((app_seq,), (app_ts, True))
         if not partners:
-            return [Row(*key, None, ts, "app_missing")]
-        return [Row(*key, app_ts, ts, "success") for _, app_ts in partners]
+            return [self.row(*key, None, ts, "app_missing")]
+        return [self.row(*key, app_ts, ts, "success") for _, app_ts in partners]
 
     def on_time(self, key, now):
         done = [(s, v) for s, v in self.apps.iterator() if v[0] + self.wait_ms <= now]
         for slot, _ in done:
             self.apps.removeKey(slot)
-        return [Row(*key, v[0], None, "platform_missing") for _, v in done if not v[1]]
+        return [self.row(*key, v[0], None, "platform_missing") for _, v in done if not v[1]]
 
 
 def reconcile(df: DataFrame, key: str, wait: timedelta = timedelta(seconds=5)) -> DataFrame:
@@ -436,7 +452,7 @@ def reconcile(df: DataFrame, key: str, wait: timedelta = timedelta(seconds=5)) -
     return _run(df, key, _Reconcile(_millis(wait)), schema, "EventTime")
 
 
-class _CoGroup(StatefulProcessor):
+class _CoGroup(Processor):
     def __init__(self, size_ms: int, chunk_rows: int):
         self.size_ms, self.chunk_rows = size_ms, chunk_rows
 
@@ -461,7 +477,7 @@ class _CoGroup(StatefulProcessor):
             pieces = [[r[0] for r in islice(side, self.chunk_rows)] for side in (left, right)]
             if not any(pieces):
                 break
-            yield Row(key[0], key[1], key[1] + self.size_ms, chunk, *pieces)
+            yield self.row(key[0], key[1], key[1] + self.size_ms, chunk, *pieces)
             chunk += 1
         for state in self.lists:
             state.clear()
@@ -474,7 +490,6 @@ def window_cogroup(df: DataFrame, key: str, size: timedelta = timedelta(seconds=
     """
     size_ms = _millis(size)
     started = df.withColumn("window_start", F.col("ts") - F.pmod("ts", F.lit(size_ms)))
-    schema = _schema(df, key, ("window_start", "long"), ("window_end", "long"), ("chunk", "long"))
-    schema = schema.add("left_values", "array<bigint>").add("right_values", "array<bigint>")
-    grouped = started.groupBy(key, "window_start")
-    return grouped.transformWithState(_CoGroup(size_ms, chunk_rows), schema, "append", "EventTime")
+    lists = (("left_values", "array<bigint>"), ("right_values", "array<bigint>"))
+    schema = _schema(df, key, ("window_start", "long"), ("window_end", "long"), ("chunk", "long"), *lists)
+    return _run(started, [key, "window_start"], _CoGroup(size_ms, chunk_rows), schema, "EventTime")
