@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # fixed values: multiplier and modulus of the 32-bit polynomial string hash
 _HASH_BASE = 31
@@ -40,7 +40,7 @@ def string_hash(text: Column | str) -> Column:
     return F.aggregate(F.flatten(F.transform(characters, units)), F.lit(0).cast("long"), fold).cast("int")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def string_hash_arrow(texts: pd.Series) -> pd.Series:
     """The same hash over Arrow batches."""
 

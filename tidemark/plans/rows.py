@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import partitioning, rows
 from tidemark.plans.registry import query, table
 
-ARRIVAL = F.col("event_id") + F.pmod(F.col("event_id") * 37, F.lit(50))
+def arrival():
+    """A disorderly but fixed arrival order."""
+    return F.col("event_id") + F.pmod(F.col("event_id") * 37, F.lit(50))
 
 
 def clicks(spark, sf):
@@ -89,7 +91,7 @@ def table_select_where(spark, sf):
        FROM a""",
 )
 def annotate_watermark(spark, sf):
-    arrivals = table(spark, sf, "events").select("event_id", "ts", ARRIVAL.alias("arrival"))
+    arrivals = table(spark, sf, "events").select("event_id", "ts", arrival().alias("arrival"))
     annotated = rows.annotate_watermark(arrivals, ["arrival", "event_id"], "ts", timedelta(seconds=2))
     return annotated.select("event_id", "ts", "watermark")
 

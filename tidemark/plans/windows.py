@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import late, over, timers, windows
 from tidemark.plans.registry import query, table
-from tidemark.plans.rows import ARRIVAL, clicks
+from tidemark.plans.rows import arrival, clicks
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
@@ -138,7 +138,7 @@ _LATE = """
 
 
 def _classified(spark, sf):
-    arrivals = table(spark, sf, "events").select("event_id", "user_id", "ts", ARRIVAL.alias("arrival"))
+    arrivals = table(spark, sf, "events").select("event_id", "user_id", "ts", arrival().alias("arrival"))
     half = timedelta(minutes=30)
     return late.classify(arrivals, "ts", ["arrival", "event_id"], HOUR, half, half)
 
