@@ -151,7 +151,7 @@ def test_seven_events(seven):
     assert tuples(final) == [("Judy", "./home", 4000), ("Martin", "./home", 7000), ("Tom", "./cart", 20000)]
     best = keyed.max_row(seven, ["user"], "timestamp", "seq").select("user", "url", "timestamp")
     assert tuples(best) == [("Judy", "./home", 4000), ("Martin", "./prod", 7000), ("Tom", "./home", 20000)]
-    leaders = keyed.most_active_running(seven, "user", "seq", width=2).orderBy("seq").collect()
+    leaders = keyed.most_active_running(seven, "user", "seq").orderBy("seq").collect()
     expected = [("Tom", 1), ("Tom", 2), ("Tom", 2), ("Judy", 2), ("Judy", 2), ("Martin", 2), ("Martin", 3)]
     assert [(r["leader"], r["leader_cnt"]) for r in leaders] == expected
     assert tuples(keyed.most_active(seven, "user", "seq")) == [("Martin", 3)]

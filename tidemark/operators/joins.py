@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import durations
-from tidemark.operators.ordered import Run, _position, floor_div, running
+from tidemark.operators.ordered import Run, position, floor_div, running
 
 
 def window_join(
@@ -91,12 +91,12 @@ def interval_join(
         return left.join(right, same_key & in_range, how)
 
     width = max(durations.micros(upper - lower), 1)
-    at = _position(left, ts[0])
+    at = position(left, ts[0])
     buckets = F.sequence(
         floor_div(at + durations.micros(lower), width), floor_div(at + durations.micros(upper), width)
     )
     bucketed_left = left.withColumn("_buckets", F.coalesce(F.size(buckets), F.lit(1))).withColumn("_lb", F.explode_outer(buckets))
-    bucketed_right = right.withColumn("_rb", floor_div(_position(right, ts[1]), width))
+    bucketed_right = right.withColumn("_rb", floor_div(position(right, ts[1]), width))
     joined = bucketed_left.join(bucketed_right, same_key & (F.col("_lb") == F.col("_rb")) & in_range, how)
     columns = [*left.columns, *right.columns]
     if how == "inner":

@@ -52,11 +52,11 @@ def latest_value(df: DataFrame, keys: Sequence[str], value: str, order: Sequence
     return df.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias(value))
 
 
-def most_active_running(df: DataFrame, key: str, seq: str, width: int | None = None) -> DataFrame:
+def most_active_running(df: DataFrame, key: str, seq: str) -> DataFrame:
     """After each row: the key with the largest running count so far; later rows win ties."""
     counted = running_count(df.select(key, seq), [key], [seq], out="_cnt")
     leader = F.struct(F.col("_cnt").alias("cnt"), F.col(seq).alias("_at"), F.col(key).alias("leader"))
-    return running(counted, [], [seq], {"_best": Run("max", leader)}, width=width).select(
+    return running(counted, [], [seq], {"_best": Run("max", leader)}, sizing=df.select(seq)).select(
         seq, key, F.col("_best.leader").alias("leader"), F.col("_best.cnt").alias("leader_cnt")
     )
 

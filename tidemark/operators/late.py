@@ -27,14 +27,13 @@ def classify(
     size: timedelta = timedelta(seconds=10),
     delay: timedelta = timedelta(seconds=2),
     lateness: timedelta = timedelta(seconds=30),
-    width: int | None = None,
     seen_before: Column | None = None,
 ) -> DataFrame:
     """Add ``window_start``, ``window_end`` and ``lateness``.
 
     ``seen_before`` is the largest event time that came before the first row, if any.
     """
-    seen_rows = running(df, [], arrival, {"_seen": Run("max", F.col(ts), inclusive=False)}, width=width)
+    seen_rows = running(df, [], arrival, {"_seen": Run("max", F.col(ts), inclusive=False)})
     seen = F.col("_seen") if seen_before is None else F.greatest("_seen", seen_before)
     windowed = seen_rows.withColumn("_w", F.window(ts, durations.text(size)))
     closes = F.col("_w").end + durations.literal(delay)

@@ -9,10 +9,21 @@ slices before it travels between them:
 * :func:`over_rows` (the last k rows) prepends the last k rows before the slice, its *halo*.
 
 Rows, carry rows and halo rows are shuffled once by ``(key, slice)`` and sorted once. Keys below the
-limit form one slice and need neither, so without hot keys the added cost is one narrow, map-side
-combined count per key. At most ``total rows / max_rows`` keys can be hot, which bounds the broadcast
-table of hot keys; a hot key has about ``2 * its rows / max_rows`` slices, which bounds the per-key
-scan over slice summaries.
+limit form one slice and need neither; without any hot key the result is the plain window.
+
+Which keys to cut is found when an operator is applied, by a job that counts rows per key (two columns,
+map-side combined) and writes the few cuts to the shared folder, so that every later reading of the input
+is cut alike.
+
+Slices are cut twice. The first cut divides the span of a key's leading order column evenly. Where rows
+bunch up and a slice is still above the limit, the second cut divides that slice again: along the same
+column, or, if all its rows share one value there (coarse timestamps), along the next order column.
+
+Sizes: only groups of more than ``max_rows`` rows are cut, so at most ``total rows / max_rows`` entries
+are in each broadcast table of cuts; a key has about ``2 * its rows / max_rows`` slices per cut, which
+bounds the scan over its slice summaries.
+
+The input is read more than once and must give the same rows each time.
 """
 
 from __future__ import annotations
@@ -22,11 +33,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F, types as T
 
+from tidemark.session import shared_folder
+
 MAX_ROWS_CONF = "spark.tidemark.maxRowsPerSlice"
 DEFAULT_MAX_ROWS = 4_000_000
 
-_SLICE = "_slice"
-_LO, _WIDTH = "_slice_origin", "_slice_width"
+_SLICES = ("_slice", "_subslice")
+_EVERYTHING = "_everything"
 _IS_ROW = "_is_row"
 
 
@@ -34,11 +47,12 @@ def max_rows_per_slice(spark: SparkSession) -> int:
     return int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
 
 
-def _position(df: DataFrame, column: str) -> Column:
-    """The leading order column as a number that grows with it."""
-    if isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
+def position(df: DataFrame, column: str) -> Column | None:
+    """An order column as a number that grows with it, if it has one."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(column).cast("timestamp"))
-    return F.col(column).cast("long")
+    return F.col(column).cast("long") if isinstance(kind, T.IntegralType) else None
 
 
 def floor_div(value: Column, width: int | Column) -> Column:
@@ -47,37 +61,68 @@ def floor_div(value: Column, width: int | Column) -> Column:
     return F.call_function("div", value - F.pmod(value, width), width)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keys above the row limit with the origin and width of their slices."""
+def _cuts(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """For every group above the row limit, along which order column, from where and how wide to cut it."""
     limit = max_rows_per_slice(df.sparkSession)
-    position = _position(df, order[0])
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(position).alias(_LO), F.max(position).alias("_hi")
+    first, second = position(df, order[0]), position(df, order[1]) if len(order) > 1 else None
+    if first is None:
+        raise TypeError(f"cannot cut along {order[0]!r}: need an integer or timestamp column")
+    second = first if second is None else second
+    sizes = df.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(first).alias("_lo1"),
+        F.max(first).alias("_hi1"),
+        F.min(second).alias("_lo2"),
+        F.max(second).alias("_hi2"),
     )
-    pieces = F.ceil(F.col("_n") / limit) * 2
-    width = F.greatest(F.ceil((F.col("_hi") - F.col(_LO) + 1) / pieces).cast("long"), F.lit(1).cast("long"))
-    return per_key.where(F.col("_n") > limit).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], _LO, width.alias(_WIDTH)
+    by_first = F.col("_hi1") > F.col("_lo1")
+    low = F.when(by_first, F.col("_lo1")).otherwise(F.col("_lo2"))
+    high = F.when(by_first, F.col("_hi1")).otherwise(F.col("_hi2"))
+    width = F.ceil((high - low + 1) / (F.ceil(F.col("_n") / limit) * 2)).cast("long")
+    return sizes.where(F.col("_n") > limit).select(
+        *[F.col(g).alias(f"_cut_{g}") for g in groups], by_first.alias("_by_first"), low.alias("_low"), width.alias("_width")
     )
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int | None) -> tuple[DataFrame, DataFrame]:
-    """All rows with their slice, and the rows whose key has more than one slice."""
+def _cut(df: DataFrame, cuts: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, how: str) -> DataFrame:
+    """Number the slices of cut groups from 0; ``how='inner'`` keeps only rows of cut groups."""
+    first, second = position(df, order[0]), position(df, order[1]) if len(order) > 1 else None
+    at = first if second is None else F.when(F.col("_by_first"), first).otherwise(second)
+    same_group = [F.col(g).eqNullSafe(F.col(f"_cut_{g}")) for g in groups]
+    number = F.call_function("div", at - F.col("_low"), F.col("_width"))
+    # proven size: one entry per group of more than max_rows rows
+    joined = df.join(F.broadcast(cuts), same_group, how)
+    return joined.select(*df.columns, F.coalesce(number, F.lit(0).cast("long")).alias(out))
+
+
+def _found(cuts: DataFrame) -> DataFrame | None:
+    """The cuts as a written table, or None when there are none."""
+    folder = shared_folder(cuts.sparkSession, "cuts")
+    cuts.write.parquet(folder)
+    written = cuts.sparkSession.read.schema(cuts.schema).parquet(folder)
+    return None if written.isEmpty() else written
+
+
+def _sliced(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], sizing: DataFrame | None
+) -> tuple[DataFrame, DataFrame, list[str]] | None:
+    """All rows with their slice, the rows of cut keys, and the slice columns; None without hot keys.
+
+    Cuts are found from ``sizing``, by default ``df`` itself.
+    """
     if df.isStreaming:
         raise ValueError("row-order windows are batch only; use tidemark.streaming.processors on streams")
-    position = _position(df, order[0])
-    if not keys or width is not None:
-        width = width or max_rows_per_slice(df.sparkSession)
-        rows = df.withColumn(_SLICE, floor_div(position, width))
-        return rows, rows
-    # proven size: at most (row count / max_rows) keys pass the HAVING filter
-    hot = F.broadcast(hot_keys(df, keys, order))
-    same_key = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    cut = F.call_function("div", position - F.col(_LO), F.col(_WIDTH))
-    columns = [F.col(c) for c in df.columns]
-    rows = df.join(hot, same_key, "left").select(*columns, F.coalesce(cut, F.lit(0).cast("long")).alias(_SLICE))
-    hot_rows = df.join(hot, same_key, "inner").select(*columns, cut.alias(_SLICE))
-    return rows, hot_rows
+    sizing = df if sizing is None else sizing
+    slice_, subslice = _SLICES
+    key_cuts = _found(_cuts(sizing, keys, order))
+    if key_cuts is None:
+        return None
+    rows, hot = (_cut(df, key_cuts, keys, order, slice_, how) for how in ("left", "inner"))
+    slice_cuts = _found(_cuts(_cut(sizing, key_cuts, keys, order, slice_, "inner"), [*keys, slice_], order))
+    if slice_cuts is None:
+        return rows, hot, [slice_]
+    rows, hot = (_cut(part, slice_cuts, [*keys, slice_], order, subslice, "left") for part in (rows, hot))
+    return rows, hot, [slice_, subslice]
 
 
 @dataclass(frozen=True)
@@ -121,35 +166,36 @@ def running(
     order: Sequence[str],
     aggregates: dict[str, Run],
     reverse: bool = False,
-    width: int | None = None,
+    sizing: DataFrame | None = None,
 ) -> DataFrame:
     """Add running aggregates over each key's rows in ``order`` (a total order).
 
-    ``reverse=True`` runs from the end, i.e. over the *following* rows. Without keys the whole table
-    is one ordered sequence, cut every ``width`` units of the leading order column.
+    ``reverse=True`` runs from the end, i.e. over the *following* rows. Without keys the whole table is
+    one ordered sequence. Where ``df`` is costly to compute, ``sizing`` may be any cheaper DataFrame with
+    the same keys and order columns; it only serves to find hot keys.
     """
     values = {name: f"_value_{name}" for name in aggregates}
     lifted = df.select("*", *[run.lifted().alias(values[name]) for name, run in aggregates.items()])
-    rows, hot_rows = _sliced(lifted, keys, order, width)
-
+    sizing = None if sizing is None else _keyed(sizing, keys)[0]
+    lifted, keys = _keyed(lifted, keys)
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-    earlier = Window.partitionBy(*keys).orderBy(direction(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        hot_rows.groupBy(*keys, _SLICE)
-        .agg(*[_summary(run, values[name], order, reverse).alias(values[name]) for name, run in aggregates.items()])
-        .select(
-            *keys,
-            _SLICE,
+    stacked = lifted.withColumn(_IS_ROW, F.lit(True))
+    partition = keys
+    if sliced := _sliced(lifted, keys, order, sizing):
+        rows, hot_rows, slices = sliced
+        partition = [*keys, *slices]
+        earlier = Window.partitionBy(*keys).orderBy(*map(direction, slices)).rowsBetween(Window.unboundedPreceding, -1)
+        summaries = hot_rows.groupBy(*partition).agg(
+            *[_summary(run, values[name], order, reverse).alias(values[name]) for name, run in aggregates.items()]
+        )
+        carries = summaries.select(
+            *partition,
             *[_MERGE[run.kind](F.col(values[name])).over(earlier).alias(values[name]) for name, run in aggregates.items()],
             F.count(F.lit(1)).over(earlier).alias("_before"),
         )
-        .where("_before > 0")
-        .drop("_before")
-    )
-    stacked = rows.withColumn(_IS_ROW, F.lit(True)).unionByName(
-        carries.withColumn(_IS_ROW, F.lit(False)), allowMissingColumns=True
-    )
-    in_slice = Window.partitionBy(*keys, _SLICE).orderBy(_IS_ROW, *[direction(c) for c in order])
+        carries = carries.where("_before > 0").drop("_before").withColumn(_IS_ROW, F.lit(False))
+        stacked = rows.withColumn(_IS_ROW, F.lit(True)).unionByName(carries, allowMissingColumns=True)
+    in_slice = Window.partitionBy(*partition).orderBy(_IS_ROW, *[direction(c) for c in order])
     results = []
     for name, run in aggregates.items():
         frame = in_slice.rowsBetween(Window.unboundedPreceding, 0 if run.inclusive else -1)
@@ -168,25 +214,30 @@ def over_rows(
     order: Sequence[str],
     before: int,
     expressions: Callable[[WindowSpec], dict[str, Column]],
-    width: int | None = None,
 ) -> DataFrame:
     """Add window expressions whose frames reach at most ``before`` rows back.
 
     ``expressions`` receives the ordered window specification and returns named columns.
     """
-    rows, hot_rows = _sliced(df, keys, order, width)
-    newest_first = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
-    per_key = Window.partitionBy(*keys).orderBy(*order)
-    ends = (
-        hot_rows.withColumn("_rank", F.row_number().over(newest_first))
-        .where(F.col("_rank") <= before)
-        .withColumn("_tail", F.collect_list(F.struct(*df.columns)).over(per_key.rowsBetween(1 - before, 0)))
-        .where("_rank = 1")
-        .select("_tail", F.lead(_SLICE).over(per_key).alias(_SLICE))
-    )
-    halos = ends.where(F.col(_SLICE).isNotNull()).select(_SLICE, F.inline("_tail"))
-    stacked = rows.withColumn(_IS_ROW, F.lit(True)).unionByName(halos.withColumn(_IS_ROW, F.lit(False)))
-    named = expressions(Window.partitionBy(*keys, _SLICE).orderBy(*order))
+    lifted, keys = _keyed(df, keys)
+    stacked = lifted.withColumn(_IS_ROW, F.lit(True))
+    in_slice = Window.partitionBy(*keys)
+    if sliced := _sliced(lifted, keys, order, None):
+        rows, hot_rows, slices = sliced
+        in_slice = Window.partitionBy(*keys, *slices)
+        newest_first = in_slice.orderBy(*[F.col(c).desc() for c in order])
+        per_key = Window.partitionBy(*keys).orderBy(*order)
+        # at most `before` rows per slice and per list
+        ends = (
+            hot_rows.withColumn("_rank", F.row_number().over(newest_first))
+            .where(F.col("_rank") <= before)
+            .withColumn("_tail", F.collect_list(F.struct(*lifted.columns)).over(per_key.rowsBetween(1 - before, 0)))
+            .where("_rank = 1")
+            .select("_tail", *[F.lead(c).over(per_key).alias(c) for c in slices])
+        )
+        halos = ends.where(F.col(slices[0]).isNotNull()).select(*slices, F.inline("_tail"))
+        stacked = rows.withColumn(_IS_ROW, F.lit(True)).unionByName(halos.withColumn(_IS_ROW, F.lit(False)))
+    named = expressions(in_slice.orderBy(*order))
     return (
         stacked.select(*df.columns, _IS_ROW, *[c.alias(n) for n, c in named.items()])
         .where(_IS_ROW)
@@ -194,6 +245,11 @@ def over_rows(
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, width: int | None = None) -> DataFrame:
+def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Without keys, one constant key: the whole table is then cut like a hot key."""
+    return (df, list(keys)) if keys else (df.withColumn(_EVERYTHING, F.lit(0)), [_EVERYTHING])
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """1-based row number within each key."""
-    return running(df, keys, order, {name: Run("count")}, width=width)
+    return running(df, keys, order, {name: Run("count")})

@@ -76,14 +76,14 @@ def map_partitions(
 
 
 def annotate_watermark(
-    df: DataFrame, arrival: Sequence[str], ts: str = "timestamp", delay: timedelta = timedelta(0), width: int | None = None
+    df: DataFrame, arrival: Sequence[str], ts: str = "timestamp", delay: timedelta = timedelta(0)
 ) -> DataFrame:
     """Add the watermark each row meets (largest earlier event time minus ``delay``) and its partition.
 
     The partition is the one Spark read the row in. ``watermark`` is NULL for the first arrival.
     """
     tagged = df.withColumn("subtask", F.spark_partition_id())
-    seen = running(tagged, [], arrival, {"_seen": Run("max", F.col(ts), inclusive=False)}, width=width)
+    seen = running(tagged, [], arrival, {"_seen": Run("max", F.col(ts), inclusive=False)})
     if isinstance(df.schema[ts].dataType, T.LongType):
         watermark = F.col("_seen") - F.lit(durations.micros(delay) // 1000).cast("long")
     else:
