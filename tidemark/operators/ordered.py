@@ -97,10 +97,15 @@ def _cut(df: DataFrame, cuts: DataFrame, groups: Sequence[str], order: Sequence[
 
 def _found(cuts: DataFrame) -> DataFrame | None:
     """The cuts as a written table, or None when there are none."""
-    folder = shared_folder(cuts.sparkSession, "cuts")
-    cuts.write.parquet(folder)
-    written = cuts.sparkSession.read.schema(cuts.schema).parquet(folder)
-    return None if written.isEmpty() else written
+    kept = cuts.persist()
+    try:
+        if kept.isEmpty():
+            return None
+        folder = shared_folder(cuts.sparkSession, "cuts")
+        kept.write.parquet(folder)
+        return cuts.sparkSession.read.schema(cuts.schema).parquet(folder)
+    finally:
+        kept.unpersist()
 
 
 def _sliced(
