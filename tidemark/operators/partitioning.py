@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def shuffle(df: DataFrame, partitions: int, seed: int = 0) -> DataFrame:
-    """Random placement."""
-    return df.repartition(partitions, F.rand(seed))
+def shuffle(df: DataFrame, partitions: int) -> DataFrame:
+    """Random placement.
 
-
-def rebalance(df: DataFrame, partitions: int) -> DataFrame:
-    """Round robin, evenly filled."""
+    Spark deals rows out round robin after ordering them by hash, from a start that differs per task. The
+    effect is random and even, and unlike ``rand()`` it repeats exactly when a lost task is run again.
+    """
     return df.repartition(partitions)
 
 
+def rebalance(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Evenly filled partitions; without a number, of the size adaptive execution aims at."""
+    return df.hint("rebalance") if partitions is None else df.repartition(partitions)
+
+
 def rescale(df: DataFrame, partitions: int, grow: bool = False) -> DataFrame:
     """Fewer partitions by merging neighbours, without an exchange; more only with ``grow``."""
     return df.repartition(partitions) if grow else df.coalesce(partitions)
