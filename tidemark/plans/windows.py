@@ -162,8 +162,8 @@ def late_side_output(spark, sf):
 
 
 _OVER_AVG = """
-    SELECT event_id, user_id, round(avg((epoch_us(ts) // 1000)) OVER
-        (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW), 3) AS avg_ts
+    SELECT event_id, user_id, avg((epoch_us(ts) // 1000)) OVER
+        (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS avg_ts
     FROM events
 """
 
@@ -172,7 +172,7 @@ def _over_average(spark, sf):
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", millis.alias("ms"))
     averaged = over.average_of_last(events, ["user_id"], ["ts", "event_id"], "ms", 3)
-    return averaged.select("event_id", "user_id", F.round("avg_ts", 3).alias("avg_ts"))
+    return averaged.select("event_id", "user_id", "avg_ts")
 
 
 @query("over_avg_rows", _OVER_AVG)
