@@ -47,8 +47,8 @@ def lines(df: DataFrame, text: str = "text", out: str = "line") -> DataFrame:
 def words(df: DataFrame, line: str = "line", out: str = "word", lowercase: bool = False) -> DataFrame:
     """One row per non-empty, space-separated word of ``line``; other columns are kept."""
     source = F.lower(line) if lowercase else F.col(line)
-    parts = F.filter(F.split(source, " "), lambda word: word != "")
-    return df.select(*[c for c in df.columns if c != line], F.explode(parts).alias(out))
+    exploded = df.select(*[c for c in df.columns if c != line], F.explode(F.split(source, " ")).alias(out))
+    return exploded.where(F.col(out) != "")
 
 
 def text_length(df: DataFrame, column: str = "user", out: str = "user_length") -> DataFrame:
