@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, oracles
+from tidemark.llm import decontaminate, mixing, oracles
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = mixing.decisions(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    position = F.col("__times")[0]
+    columns = {"size": "__size", "source_size": "__source_size", "target": "__target", "taken": "__taken"}
+    named = [F.col(old).alias(new) for new, old in columns.items()]
+    return placed.select("doc_id", *named, position.alias("position")).orderBy(F.asc_nulls_last("position"), "doc_id")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.judged(decontaminate.matches(docs, _table(spark, sf_dir, "benchmark")))
@@ -23,6 +31,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RUNS: dict[str, Run] = {
+    "op3_mix": op3_mix,
     "op6_decontaminate": op6_decontaminate,
 }
 SQL: dict[str, str] = {
