@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, oracles
+from tidemark.llm import decontaminate, flatfiles, mixing, oracles, planes
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.decisions(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     position = F.col("__times")[0]
@@ -30,9 +36,24 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_bit_planes(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return planes.read(planes.write(docs, tokenizer or _byte_bpe(), end_id=2))
+
+
+def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    end_id = 50256  # the special token of this vocabulary
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    written = flatfiles.write(docs, tokenizer or _byte_bpe(), end_id)
+    counts = flatfiles.named(flatfiles.scan(written.select("address", "size"), end_id), written)
+    return counts.select("doc_id", "n_tokens")
+
+
 RUNS: dict[str, Run] = {
     "op3_mix": op3_mix,
     "op6_decontaminate": op6_decontaminate,
+    "op7_bit_planes": op7_bit_planes,
+    "op10_separator_scan": op10_separator_scan,
 }
 SQL: dict[str, str] = {
     "op6_decontaminate": oracles.DECONTAMINATE,

@@ -52,8 +52,9 @@ def _alphanumeric() -> np.ndarray:
 
 #: Words are runs of these bytes: anything but ASCII white space; or ASCII letters, digits and all that is not ASCII.
 SPACED, ALPHANUMERIC = _space_separated(), _alphanumeric()
-#: A random value for each byte, with A-Z valued as a-z.
-_VALUE = _fold(mixed(np.arange(1, 257, dtype=np.uint64) * _U64(_BASE)))
+#: A random value for each byte; and with A-Z valued as a-z.
+BYTE_VALUE = mixed(np.arange(1, 257, dtype=np.uint64) * _U64(_BASE))
+_FOLDED_VALUE = _fold(BYTE_VALUE)
 
 
 class _Powers:
@@ -90,7 +91,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     """Cut a batch into runs of rows with about ``limit`` bytes of text each; a longer text stands alone."""
     if not batch.num_rows:
         return
-    ends = _ends(batch.column(column))
+    ends = text_ends(batch.column(column))
     start = 0
     while start < batch.num_rows:
         base = ends[start - 1] if start else 0
@@ -99,7 +100,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         start = stop
 
 
-def _ends(texts: pa.Array) -> np.ndarray:
+def text_ends(texts: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
 
     return np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -107,27 +108,32 @@ def _ends(texts: pa.Array) -> np.ndarray:
 
 def hashed_words(texts: pa.Array, word_bytes: np.ndarray) -> Words:
     """Hash the words of every text, A-Z as a-z; null has none."""
-    ends = _ends(texts)
+    ends = text_ends(texts)
     bounds = np.concatenate(([0], ends))
-    data = _bytes(texts)
+    data = text_bytes(texts)
     if not len(data):
         return Words(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64))
     first, last = _word_bounds(data, bounds, word_bytes)
+    return Words(run_hashes(data, first, last, _FOLDED_VALUE), np.searchsorted(first, bounds))
+
+
+def run_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Hashes of the byte runs from ``first`` to ``last``, both included, in order and apart; ``values`` by byte."""
     hashes = np.empty(len(first), np.uint64)
     at = 0
-    while at < len(first):  # segments end between words
+    while at < len(first):  # segments end between runs
         stop = max(at + 1, int(np.searchsorted(last, first[at] + SEGMENT_BYTES)))
         origin, end = first[at], last[stop - 1] + 1
         up, down = _POWERS.upto(int(end - origin))
-        sums = np.cumsum(_VALUE[data[origin:end]] * up[: end - origin])
+        sums = np.cumsum(values[data[origin:end]] * up[: end - origin])
         begin = first[at:stop] - origin
         before = np.where(begin > 0, sums[begin - 1], _U64(0))
         hashes[at:stop] = (sums[last[at:stop] - origin] - before) * down[begin]
         at = stop
-    return Words(mixed(hashes), np.searchsorted(first, bounds))
+    return mixed(hashes)
 
 
-def _bytes(texts: pa.Array) -> np.ndarray:
+def text_bytes(texts: pa.Array) -> np.ndarray:
     """The bytes of all texts one after another."""
     if texts.null_count:
         texts = texts.fill_null("")
