@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, flatfiles, mixing, oracles, planes
+from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,20 @@ def _byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = fingerprints.compared(_table(spark, sf_dir, "documents"))
+    own, edited, following = (F.col(c) for c in ("sketch", "edited_sketch", "next_sketch"))
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        fingerprints.printed(own).alias("fingerprint"),
+        fingerprints.printed(edited).alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"),
+        fingerprints.likeness(own, following).alias("near_next"),
+    )
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.decisions(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     position = F.col("__times")[0]
@@ -50,6 +64,7 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None
 
 
 RUNS: dict[str, Run] = {
+    "op1_fingerprints": op1_fingerprints,
     "op3_mix": op3_mix,
     "op6_decontaminate": op6_decontaminate,
     "op7_bit_planes": op7_bit_planes,
