@@ -28,4 +28,4 @@ def created(base: str, suffix: str) -> tuple[str, object]:
     system, root = fs.FileSystem.from_uri(base)
     system.create_dir(root, recursive=True)
     name = f"{uuid.uuid4().hex}{suffix}"
-    return f"{base}/{name}", system.open_output_stream(f"{root}/{name}")
+    return f"{base}/{name}", system.open_output_stream(f"{root}/{name}", compression=None)

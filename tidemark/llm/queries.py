@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes
+from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,19 @@ def op7_bit_planes(spark: SparkSession, sf_dir: str, tokenizer: str | None = Non
     return planes.read(planes.write(docs, tokenizer or _byte_bpe(), end_id=2))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    whole = warc.captures(warc.read(archives))
+    notes = F.map_from_entries("metadata.notes")
+    return whole.select(
+        notes["page-id"].cast("long").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        notes["refers-to-page-id"].cast("long").alias("refers_to"),
+    )
+
+
 def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     end_id = 50256  # the special token of this vocabulary
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,9 +81,11 @@ RUNS: dict[str, Run] = {
     "op3_mix": op3_mix,
     "op6_decontaminate": op6_decontaminate,
     "op7_bit_planes": op7_bit_planes,
+    "op9_warc": op9_warc,
     "op10_separator_scan": op10_separator_scan,
 }
 SQL: dict[str, str] = {
+    "op9_warc": oracles.WARC,
     "op6_decontaminate": oracles.DECONTAMINATE,
 }
 
