@@ -33,3 +33,31 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
   CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
 FROM q
 """
+
+_DIGIT = "('0x' || substr(md5(entry), {}, 2))::BIGINT"
+_D = [_DIGIT.format(2 * i + 1) for i in range(6)]
+
+URL_FILTER = rf"""
+WITH p AS (
+  SELECT page_id, url, 1704067200 + page_id * 60 AS fetched_at,
+    rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]*)', 1)), '.') AS host,
+    list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS path
+  FROM pages
+), k AS (
+  SELECT page_id, fetched_at, array_to_string(l[len(l) - i + 1 :], '.') AS entry
+  FROM (SELECT *, string_split(host, '.') AS l FROM p WHERE host <> ''), unnest(range(1, least(len(l), 3) + 1)) AS t(i)
+  UNION
+  SELECT page_id, fetched_at, host || '/' || path[1] FROM p WHERE host <> '' AND len(path) > 0
+), e AS (
+  SELECT DISTINCT entry, 1704067200 + {_D[1]} * 21600 AS added FROM k WHERE {_D[0]} < 64 AND contains(entry, '.')
+), r AS (SELECT *, added + ({_D[2]} + 1) * 43200 AS removed FROM e), spans AS (
+  SELECT entry, added AS since, removed AS until FROM r
+  UNION ALL SELECT entry, removed + ({_D[3]} + 1) * 43200, NULL FROM r WHERE {_D[5]} % 2 = 0
+), met AS (
+  SELECT page_id, entry, since, until, row_number() OVER (PARTITION BY page_id ORDER BY length(entry) DESC, entry DESC) AS n
+  FROM k JOIN spans USING (entry) WHERE since <= fetched_at AND (until IS NULL OR fetched_at < until)
+)
+SELECT p.page_id, p.url, p.fetched_at, entry IS NOT NULL AS blocked, entry,
+  CASE WHEN {_D[4]} % 2 = 0 THEN 'spam' WHEN entry IS NOT NULL THEN 'adult' END AS category, since, until
+FROM p LEFT JOIN (SELECT * FROM met WHERE n = 1) m ON p.page_id = m.page_id
+"""

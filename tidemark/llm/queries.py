@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes, warc
+from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes, tables, urlfilter, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,34 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", *named, position.alias("position")).orderBy(F.asc_nulls_last("position"), "doc_id")
 
 
+LISTS_BEGIN = 1_704_067_200  # 2024-01-01
+_HALF_DAY = 43_200
+
+
+def _listing(pages: DataFrame) -> DataFrame:
+    """Dated events of a list over hosts, domains and first path segments of the pages, dealt by their digests."""
+    names = pages.select(F.explode(urlfilter.keys(F.col("url"), 3, 1)).alias("entry")).distinct()
+    digit = lambda i: F.conv(F.substring(F.md5("entry"), 2 * i + 1, 2), 16, 10).cast("long")
+    added = F.lit(LISTS_BEGIN) + digit(1) * (_HALF_DAY // 2)
+    removed = added + (digit(2) + 1) * _HALF_DAY
+    again = removed + (digit(3) + 1) * _HALF_DAY
+    category = F.when(digit(4) % 2 == 0, "spam").otherwise("adult")
+    event = lambda action, at, use: F.struct(F.lit(action).alias("action"), at.alias("at"), use.alias("use"))
+    always = F.lit(True)
+    events = F.array(event("add", added, always), event("remove", removed, always), event("add", again, digit(5) % 2 == 0))
+    listed = names.where((digit(0) < 64) & F.col("entry").contains("."))
+    return listed.select("entry", category.alias("category"), F.explode(events).alias("e")).where("e.use").select(
+        "entry", "category", "e.action", "e.at"
+    )
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.lit(LISTS_BEGIN) + F.col("page_id") * 60)
+    listed = tables.stored(urlfilter.intervals(_listing(pages)), "url-list")
+    return urlfilter.judged(captures, listed)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.judged(decontaminate.matches(docs, _table(spark, sf_dir, "benchmark")))
@@ -79,12 +107,14 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None
 RUNS: dict[str, Run] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_mix": op3_mix,
+    "op5_url_filter": op5_url_filter,
     "op6_decontaminate": op6_decontaminate,
     "op7_bit_planes": op7_bit_planes,
     "op9_warc": op9_warc,
     "op10_separator_scan": op10_separator_scan,
 }
 SQL: dict[str, str] = {
+    "op5_url_filter": oracles.URL_FILTER,
     "op9_warc": oracles.WARC,
     "op6_decontaminate": oracles.DECONTAMINATE,
 }
