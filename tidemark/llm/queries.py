@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes, tables, urlfilter, warc
+from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes, tables, toxicity, urlfilter, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,12 @@ def op7_bit_planes(spark: SparkSession, sf_dir: str, tokenizer: str | None = Non
     return planes.read(planes.write(docs, tokenizer or _byte_bpe(), end_id=2))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.scored(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "n_words", "severity", "toxic_chance", "grade", (F.col("grade") > 0).alias("toxic"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     whole = warc.captures(warc.read(archives))
@@ -110,6 +116,7 @@ RUNS: dict[str, Run] = {
     "op5_url_filter": op5_url_filter,
     "op6_decontaminate": op6_decontaminate,
     "op7_bit_planes": op7_bit_planes,
+    "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_separator_scan": op10_separator_scan,
 }

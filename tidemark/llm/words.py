@@ -113,7 +113,7 @@ def hashed_words(texts: pa.Array, word_bytes: np.ndarray) -> Words:
     data = text_bytes(texts)
     if not len(data):
         return Words(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64))
-    first, last = _word_bounds(data, bounds, word_bytes)
+    first, last = word_runs(data, bounds, word_bytes)
     return Words(run_hashes(data, first, last, _FOLDED_VALUE), np.searchsorted(first, bounds))
 
 
@@ -133,6 +133,15 @@ def run_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, values: np
     return mixed(hashes)
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] = np.arange(97, 123)
+
+
+def fold_bytes(data: np.ndarray) -> np.ndarray:
+    """A-Z as a-z."""
+    return _LOWER[data]
+
+
 def text_bytes(texts: pa.Array) -> np.ndarray:
     """The bytes of all texts one after another."""
     if texts.null_count:
@@ -145,7 +154,7 @@ def text_bytes(texts: pa.Array) -> np.ndarray:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]]
 
 
-def _word_bounds(data: np.ndarray, bounds: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_runs(data: np.ndarray, bounds: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the first and the last byte of each word; no word goes beyond its text."""
     inside = word_bytes[data]
     starts = inside.copy()
@@ -182,4 +191,4 @@ def shingles(words: Words, k: int = 5) -> Words:
 
 def word_places(data: bytes, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the first and the last byte of each word of one text."""
-    return _word_bounds(np.frombuffer(data, np.uint8), np.array([0, len(data)]), word_bytes)
+    return word_runs(np.frombuffer(data, np.uint8), np.array([0, len(data)]), word_bytes)
