@@ -61,3 +61,18 @@ SELECT p.page_id, p.url, p.fetched_at, entry IS NOT NULL AS blocked, entry,
   CASE WHEN {_D[4]} % 2 = 0 THEN 'spam' WHEN entry IS NOT NULL THEN 'adult' END AS category, since, until
 FROM p LEFT JOIN (SELECT * FROM met WHERE n = 1) m ON p.page_id = m.page_id
 """
+
+JACCARD = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS run
+  FROM d, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS t(i) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.run = y.run AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)
+), reach AS (SELECT doc_id AS node, doc_id AS other FROM d UNION SELECT node, b FROM reach JOIN links ON a = other)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(other) FROM reach WHERE node = d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, flatfiles, mixing, oracles, planes, tables, toxicity, urlfilter, warc
+from tidemark.llm import decontaminate, fingerprints, flatfiles, jaccard, mixing, oracles, planes, tables, toxicity, urlfilter, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", *named, position.alias("position")).orderBy(F.asc_nulls_last("position"), "doc_id")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(_table(spark, sf_dir, "documents"))
+
+
 LISTS_BEGIN = 1_704_067_200  # 2024-01-01
 _HALF_DAY = 43_200
 
@@ -113,6 +117,7 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None
 RUNS: dict[str, Run] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_mix": op3_mix,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_url_filter": op5_url_filter,
     "op6_decontaminate": op6_decontaminate,
     "op7_bit_planes": op7_bit_planes,
@@ -121,6 +126,7 @@ RUNS: dict[str, Run] = {
     "op10_separator_scan": op10_separator_scan,
 }
 SQL: dict[str, str] = {
+    "op4_jaccard_join": oracles.JACCARD,
     "op5_url_filter": oracles.URL_FILTER,
     "op9_warc": oracles.WARC,
     "op6_decontaminate": oracles.DECONTAMINATE,

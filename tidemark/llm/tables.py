@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
@@ -15,6 +17,12 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps: Spark drops them when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def numbered(frame: DataFrame, *order: Column, name: str = "rank", purpose: str = "ranks") -> DataFrame:
     """``frame`` with the 0-based place of each row in a total order, by a range sort and per-task offsets.
 
