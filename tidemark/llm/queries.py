@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, flatfiles, jaccard, mixing, oracles, planes, tables, toxicity, urlfilter, warc
+from tidemark.llm import decontaminate, fingerprints, flatfiles, jaccard, mixing, oracles, passages, planes, tables, toxicity, urlfilter, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(_table(spark, sf_dir, "documents"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.decisions(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     position = F.col("__times")[0]
@@ -116,6 +120,7 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None
 
 RUNS: dict[str, Run] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_passages": op2_passages,
     "op3_mix": op3_mix,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_url_filter": op5_url_filter,
