@@ -119,10 +119,9 @@ def matches(
 
     Every automaton holds ``shard_bytes`` of item texts at most (one item at least) and is shipped by itself; documents
     are scanned where they lie, without a shuffle. Null texts have no words; an item without an id goes by ''; repeated
-    items count once; without items nothing matches. Raises ValueError where ``docs`` already has a column of ``names``.
+    items count once; without items nothing matches. Columns of ``docs`` that have one of ``names`` are replaced.
     """
-    if clash := set(names) & set(docs.columns):
-        raise ValueError(f"columns in use: {sorted(clash)}")
+    docs = docs.drop(*names)
     schema = T.StructType(
         [*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, (T.LongType(), _SPAN, T.ArrayType(T.StringType())), strict=True))]
     )

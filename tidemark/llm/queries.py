@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _byte_bpe() -> str:
+def byte_bpe() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -88,7 +88,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bit_planes(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return planes.read(planes.write(docs, tokenizer or _byte_bpe(), end_id=2))
+    return planes.read(planes.write(docs, tokenizer or byte_bpe(), end_id=2))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     end_id = 50256  # the special token of this vocabulary
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    written = flatfiles.write(docs, tokenizer or _byte_bpe(), end_id)
+    written = flatfiles.write(docs, tokenizer or byte_bpe(), end_id)
     counts = flatfiles.named(flatfiles.scan(written.select("address", "size"), end_id), written)
     return counts.select("doc_id", "n_tokens")
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.words import ALPHANUMERIC, BYTE_VALUE, Words, fold_bytes, mixed, run_hashes, slices, text_bytes, text_ends, word_runs
 
@@ -190,17 +191,20 @@ def fit(
     return Model(telling, *_descend(table, y, weight, grades))
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+NAMES = ("n_words", "severity", "toxic_chance", "grade")
+
+
+def scored(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str, str, str] = NAMES) -> DataFrame:
     """``docs`` with ``n_words, severity`` (expected grade), ``toxic_chance`` (of grade 1 or more) and ``grade``.
 
+    ``names`` are the names of these columns; columns of ``docs`` that have one of them are replaced.
+
     ``grade`` is the highest grade that is reached with a chance of one half or more; 0 is not toxic. Texts without
     words, null ones too, have severity 0. Whole texts are scored where they lie.
     """
-    if clash := {"n_words", "severity", "toxic_chance", "grade"} & set(docs.columns):
-        raise ValueError(f"columns in use: {sorted(clash)}")
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*docs.schema.fields]).add("n_words", "long").add("severity", "double").add("toxic_chance", "double").add("grade", "integer")
+    docs = docs.drop(*names)
+    kinds_of = (T.LongType(), T.DoubleType(), T.DoubleType(), T.IntegerType())
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, kinds_of, strict=True))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +216,6 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     score = np.bincount(doc, model.weights[number] * x, part.num_rows)
                     chances = model.at_least(score) * (np.bincount(doc, minlength=part.num_rows) > 0)[:, None]
                 added = [words.counts.astype(np.int64), chances.sum(axis=1), chances[:, 0], (chances >= 0.5).sum(axis=1).astype(np.int32)]
-                names = [*part.schema.names, "n_words", "severity", "toxic_chance", "grade"]
-                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, added)], names)
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, added)], [*part.schema.names, *names])
 
     return docs.mapInArrow(task, schema)

@@ -59,11 +59,10 @@ def judged(captures: DataFrame, listed: DataFrame, url: str = "url", at: str = "
     Both sides meet by entry and time slot: an interval stands in every slot it touches between the first and the last
     capture, so a capture meets the intervals of its own slot alone, and an entry of a third of all captures is dealt by
     slots (and by skew handling within one). Only as many domain labels and path segments are tried as the longest entries
-    have. Null or relative urls and null times are never blocked; every row is returned, repeated ones too.
+    have. Null or relative urls and null times are never blocked; every row is returned, repeated ones too. Columns of
+    ``captures`` that are named as the added ones are replaced.
     """
-    taken = {"blocked", "entry", "category", "since", "until", "__row", "__key", "__slot", "__best"} & {c.lower() for c in captures.columns}
-    if taken:
-        raise ValueError(f"columns in use: {sorted(taken)}")
+    captures = captures.drop("blocked", "entry", "category", "since", "until")
     shape = listed.agg(
         F.max(F.size(F.split(F.substring_index("entry", "/", 1), r"\."))), F.max(F.size(F.split("entry", "/")) - 1)
     ).first()
