@@ -26,7 +26,8 @@ SAMPLE_PER_CLASS = 2_000
 FEATURES = 512
 GRADES = 3
 _PREFIXES = (3, 4, 5, 6)
-_LEAST_DOCS, _LEAST_Z = 8, 5.0
+#: A telling feature is in so many toxic documents, so many times as often as in others, with such a log-likelihood ratio.
+_LEAST_DOCS, _LEAST_LIFT, _LEAST_RATIO = 4, 4.0, 20.0
 
 
 @dataclass(frozen=True)
@@ -93,7 +94,7 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int, text: str, doc_i
 
 
 def _telling(sample: DataFrame, most: int) -> np.ndarray:
-    """Features that toxic documents of the sample have far more often than others, by the z of the log odds."""
+    """Features that toxic documents of the sample have far more often than others, by the log-likelihood ratio."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,10 +111,18 @@ def _telling(sample: DataFrame, most: int) -> np.ndarray:
     if not all(totals):
         return np.zeros(0, np.uint64)
     counts = sample.mapInArrow(count, "feature long, t long, f long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
-    odds = lambda c, n: F.log((F.col(c) + 0.5) / (F.lit(n + 0.5) - F.col(c)))
-    z = (odds("t", totals[0]) - odds("f", totals[1])) / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("f") + 0.5))
-    good = counts.where((F.col("t") >= _LEAST_DOCS) & (F.col("t") > F.col("f"))).withColumn("z", z).where(F.col("z") >= _LEAST_Z)
-    rows = good.orderBy(F.desc("z"), "feature").limit(most).collect()
+    n_toxic, n_other = totals
+    with_it, without = F.col("t") + F.col("f"), F.lit(n_toxic + n_other) - F.col("t") - F.col("f")
+    term = lambda seen, row, column: F.when(seen > 0, seen * F.log(seen * (n_toxic + n_other) / (row * column))).otherwise(0.0)
+    ratio = 2 * (
+        term(F.col("t"), with_it, F.lit(n_toxic))
+        + term(F.col("f"), with_it, F.lit(n_other))
+        + term(F.lit(n_toxic) - F.col("t"), without, F.lit(n_toxic))
+        + term(F.lit(n_other) - F.col("f"), without, F.lit(n_other))
+    )
+    lift = F.col("t") * n_other >= F.col("f") * n_toxic * F.lit(_LEAST_LIFT)
+    good = counts.where((F.col("t") >= _LEAST_DOCS) & lift).withColumn("ratio", ratio).where(F.col("ratio") >= _LEAST_RATIO)
+    rows = good.orderBy(F.desc(F.round("ratio", 6)), "feature").limit(most).collect()
     return np.sort(np.array([r.feature for r in rows], np.int64).view(np.uint64))
 
 
