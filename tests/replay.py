@@ -45,7 +45,7 @@ def write_files(folder, rows, parts=2, flush=True):
 
 
 def open_stream(spark, path):
-    return parquet_stream(spark, path, _parse_datatype_string(SCHEMA))
+    return parquet_stream(spark, path, _parse_datatype_string(SCHEMA), max_files_per_trigger=1)
 
 
 def drain(df, mode="append"):

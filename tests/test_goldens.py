@@ -113,7 +113,7 @@ def test_clicks_functions(clicks, spark):
     assert functions.split_words(clicks).count() == 13
     functions.register_functions(spark)
     assert spark.sql("SELECT MyHash('Alice')").first()[0] == 63350368
-    assert clicks.select(functions.string_hash_arrow("user_name")).distinct().count() == 6
+    assert clicks.select(functions.string_hash("user_name")).distinct().count() == 6
 
 
 def test_weighted_average_of_nothing_is_null(spark):
@@ -125,9 +125,9 @@ def test_hash_variants_agree(spark):
     texts = ["", "Alice", "Grüße", "日本", "a\U0001f600b", "x" * 500]
     frame = spark.createDataFrame([(t,) for t in texts], "s string")
     functions.register_functions(spark)
-    found = frame.select("s", functions.string_hash("s"), functions.string_hash_arrow("s"), F.expr("MyHash(s)")).collect()
+    found = frame.select("s", functions.string_hash("s"), F.expr("MyHash(s)")).collect()
     assert len(found) == len(texts)
-    assert all(r[1] == r[2] == r[3] for r in found)
+    assert all(r[1] == r[2] for r in found)
 
 
 def test_split_drops_trailing_empty_parts(spark):
@@ -192,22 +192,31 @@ def test_window_join(spark):
     assert tuples(joined) == [(0, "Jerry")] * 2 + [(0, "Tom")] * 4 + [(5, "Jerry")]
 
 
-@pytest.mark.parametrize("chunk", [100, 1])
-def test_window_cogroup(spark, chunk):
+def test_window_cogroup(spark):
     left, right = (
         at_seconds(spark, side, "key", "ts").withColumn("ms", F.unix_millis("ts")) for side in (LEFT, RIGHT[:3])
     )
-    grouped = joins.window_cogroup(left, right, "key", "ts", ["ms"], "ms", chunk_rows=chunk)
-    grouped = grouped.select("key", *seconds("window_start"), "chunk", "left_values", "right_values")
-    whole = [("Jerry", 0, 0, [1000, 2000], [4000]), ("Jerry", 5, 0, [5100], []), ("Tom", 0, 0, [1000, 2000], [3000, 4500])]
-    pieces = [
-        ("Jerry", 0, 0, [1000], [4000]),
-        ("Jerry", 0, 1, [2000], []),
-        ("Jerry", 5, 0, [5100], []),
-        ("Tom", 0, 0, [1000], [3000]),
-        ("Tom", 0, 1, [2000], [4500]),
+    members = joins.window_cogroup(left, right, "key", "ts", ["ms"], "ms")
+    assert tuples(members.select("key", *seconds("window_start"), "side", "position", "value")) == [
+        ("Jerry", 0, "left", 0, 1000),
+        ("Jerry", 0, "left", 1, 2000),
+        ("Jerry", 0, "right", 0, 4000),
+        ("Jerry", 5, "left", 0, 5100),
+        ("Tom", 0, "left", 0, 1000),
+        ("Tom", 0, "left", 1, 2000),
+        ("Tom", 0, "right", 0, 3000),
+        ("Tom", 0, "right", 1, 4500),
     ]
-    assert tuples(grouped) == (pieces if chunk == 1 else whole)
+    counts = joins.window_cogroup_counts(left, right, "key", "ts").select("key", *seconds("window_start"), "left_rows", "right_rows")
+    assert tuples(counts) == [("Jerry", 0, 2, 1), ("Jerry", 5, 1, 0), ("Tom", 0, 2, 2)]
+
+
+def test_window_cogroup_has_one_shape_at_every_size(spark):
+    left = spark.range(25_000).selectExpr("'k' AS key", "timestamp_seconds(1) AS ts", "id AS ms")
+    right = spark.range(3).selectExpr("'k' AS key", "timestamp_seconds(2) AS ts", "id AS ms")
+    members = joins.window_cogroup(left, right, "key", "ts", ["ms"], "ms")
+    assert members.where("position = value").groupBy("side").count().sort("side").collect() == [("left", 25_000), ("right", 3)]
+    assert joins.window_cogroup_counts(left, right, "key", "ts").select("left_rows", "right_rows").collect() == [(25_000, 3)]
 
 
 def test_interval_join(spark):

@@ -6,9 +6,10 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as entry
+from tidemark import plans
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = plans.queries(), plans.oracle_sql()
 SLICED = [
     "annotate_watermark", "behavior_pattern", "behavior_pattern_latest", "buffered_batches", "cep_order_timeout",
     "cep_three_fails", "cep_times_consecutive", "changelog_group_count", "count_window_avg_ts", "keyed_max_field_running",

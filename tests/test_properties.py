@@ -86,6 +86,8 @@ def test_patterns(spark, rows):
 @checked
 @given(events, events)
 def test_interval_join_and_reconcile(spark, left, right):
+    left, right = left + left[:2], right + right[:3]  # repeated rows
+
     def side(rows, prefix):
         return frame(spark, rows).select(*[F.col(c).alias(f"{prefix}_{c}") for c in ("seq", "key", "et")])
 
@@ -99,6 +101,14 @@ def test_interval_join_and_reconcile(spark, left, right):
     ]
     lonely_left = [(i, None) for i in range(len(left)) if i not in {p[0] for p in inner}]
     lonely_right = [(None, j) for j in range(len(right)) if j not in {p[1] for p in inner}]
+    def times(pairs):
+        return [(None if i is None else left[i][:2], None if j is None else right[j][:2]) for i, j in pairs]
+
+    plain = [side.select(*[F.col(f"{p}_{c}").alias(f"{p}_{c}") for c in ("key", "et")]) for side, p in ((pair[0], "l"), (pair[1], "r"))]
+    found = joins.interval_join(*plain, *pair[2:], lower, upper, "full")
+    found = found.select("l_key", F.unix_seconds("l_et"), "r_key", F.unix_seconds("r_et"))
+    flat = [(*(a or (None, None)), *(b or (None, None))) for a, b in times(inner + lonely_left + lonely_right)]
+    assert collected(found) == sorted(flat, key=repr)
     for how, expected in (("inner", inner), ("left", inner + lonely_left), ("full", inner + lonely_left + lonely_right)):
         found = joins.interval_join(*pair, lower, upper, how).select("l_seq", "r_seq")
         assert collected(found) == sorted(expected, key=repr), how

@@ -14,7 +14,7 @@ from tidemark.operators import changelog, joins, keyed, late, over, patterns, ro
 from tidemark.schemas import RULE
 from tidemark.session import shared_folder
 from tidemark.sinks import stores
-from tidemark.sources import files, replay as replay_source
+from tidemark.sources import files
 from tidemark.streaming import processors, runner
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
@@ -180,12 +180,12 @@ def test_reconcile(timed, batch):
 
 def test_window_cogroup(timed, batch):
     two = timed.where("event_type IN ('click', 'purchase')").withColumn("value", F.col("seq"))
-    two = two.withColumn("side", F.when(F.col("event_type") == "click", 1).otherwise(0))
-    found = real(drain(processors.window_cogroup(two, "user_id", DAY, chunk_rows=2)))
+    two = two.withColumn("side", F.when(F.col("event_type") == "click", "right").otherwise("left"))
+    found = real(drain(processors.window_cogroup(two, "user_id", DAY)))
     expected = joins.window_cogroup(
-        batch.where("event_type = 'purchase'"), batch.where("event_type = 'click'"), "user_id", "et", ["et", "seq"], "seq", DAY, chunk_rows=2
+        batch.where("event_type = 'purchase'"), batch.where("event_type = 'click'"), "user_id", "et", ["et", "seq"], "seq", DAY
     ).withColumn("window_start", F.unix_millis("window_start"))
-    same(found, expected, "user_id", "window_start", "chunk", "left_values", "right_values")
+    same(found, expected, "user_id", "window_start", "side", "position", "value")
 
 
 # --- keyed state -------------------------------------------------------------------------------------
@@ -207,12 +207,6 @@ def test_state_tour(stream, batch):
     same(found, expected, "seq", "value_url", "list_size", "map_value", "reduced_url", "reduced_ts", "aggregate")
 
 
-def test_manual_tumble(timed, batch):
-    found = real(drain(processors.manual_tumble(timed, "user_id", DAY)))
-    expected = windows.tumble_count(batch, "et", DAY, ["user_id"]).withColumn("window_start", F.unix_millis("window_start"))
-    same(found, expected, "user_id", "window_start", "cnt")
-
-
 def test_event_time_timers(timed, batch):
     found = real(drain(processors.timers(timed, "user_id", timedelta(seconds=10))))
     expected = timers.event_time_timers(batch, "user_id", "et").withColumn("at", F.unix_millis("at"))
@@ -354,11 +348,3 @@ def test_csv_stream(spark, tmp_path):
     table = files.with_rowtime(files.csv_table(spark, str(tmp_path / "in"), streaming=True, max_files_per_trigger=1))
     found = drain(table.withColumn("s", F.unix_seconds("et")))
     assert as_set(found, "user_name", "url", "ts", "s") == [("Alice", "./home", 1000, 1), ("Mary", "./cart", 13999, 13)]
-
-
-def test_replay_source_streams_once(spark, folder, history):
-    replay_source.register(spark)
-    reader = spark.readStream.format(replay_source.FORMAT).schema("seq long, event_type string")
-    stream = reader.option("path", "file://" + folder).option("until", 2).load()
-    found = drain(stream)
-    assert as_set(found, "seq") == sorted(((r["seq"],) for r in history), key=repr)

@@ -5,8 +5,7 @@ from tidemark.functions.library import (
     string_hash,
     register_functions,
     split_words,
-    string_hash_arrow,
     weighted_average,
 )
 
-__all__ = ["java_split", "string_hash", "register_functions", "split_words", "string_hash_arrow", "weighted_average"]
+__all__ = ["java_split", "string_hash", "register_functions", "split_words", "weighted_average"]

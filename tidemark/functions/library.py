@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # fixed values: multiplier and modulus of the 32-bit polynomial string hash
@@ -40,21 +38,6 @@ def string_hash(text: Column | str) -> Column:
     return F.aggregate(F.flatten(F.transform(characters, units)), F.lit(0).cast("long"), fold).cast("int")
 
 
-@F.pandas_udf(T.IntegerType())
-def string_hash_arrow(texts: pd.Series) -> pd.Series:
-    """The same hash over Arrow batches."""
-
-    def one(text: str | None) -> int | None:
-        if text is None:
-            return None
-        h = 0
-        for unit in np.frombuffer(text.encode("utf-16-le"), dtype="<u2").tolist():
-            h = (_HASH_BASE * h + unit) & 0xFFFFFFFF
-        return h - _TWO_32 if h >= _TWO_31 else h
-
-    return texts.map(one).astype("Int32")
-
-
 def weighted_average(value: Column | str, weight: Column | str) -> Column:
     """Whole-number weighted average; NULL when the weights sum to zero. A mergeable aggregate."""
     value = F.col(value) if isinstance(value, str) else value

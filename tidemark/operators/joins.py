@@ -33,6 +33,13 @@ def window_join(
     )
 
 
+def _sided(left: DataFrame, right: DataFrame, columns: Sequence[str], ts: str, size: timedelta) -> DataFrame:
+    tagged = left.select(*columns, F.lit("left").alias("side")).unionByName(right.select(*columns, F.lit("right").alias("side")))
+    return tagged.withColumn("_w", F.window(ts, durations.text(size))).select(
+        *columns, "side", F.col("_w").start.alias("window_start"), F.col("_w").end.alias("window_end")
+    )
+
+
 def window_cogroup(
     left: DataFrame,
     right: DataFrame,
@@ -41,30 +48,23 @@ def window_cogroup(
     order: Sequence[str],
     value: str,
     size: timedelta = timedelta(seconds=5),
-    chunk_rows: int = 10_000,
 ) -> DataFrame:
-    """Both sides' values per key and tumbling window, also when one side is empty.
+    """Both sides' values per key and tumbling window: a row per member, ``side`` and ``position`` from 0 in ``order``.
 
-    ``left`` and ``right`` share ``key``, ``ts``, ``order`` and ``value`` columns. Lists follow ``order``.
-    A group with more than ``chunk_rows`` rows on a side continues in further rows (``chunk`` 1, 2, ...),
-    so no list outgrows a task however large its group is.
+    ``left`` and ``right`` share ``key``, ``ts``, ``order`` and ``value`` columns. Groups have this shape at every size;
+    :func:`window_cogroup_counts` tells how many members each side has, also where a side is empty.
     """
     columns = list(dict.fromkeys([key, ts, *order, value]))
-    tagged = left.select(*columns, F.lit(0).alias("_side")).unionByName(right.select(*columns, F.lit(1).alias("_side")))
-    windowed = tagged.withColumn("_w", F.window(ts, durations.text(size))).select(
-        *columns, "_side", F.col("_w").start.alias("window_start"), F.col("_w").end.alias("window_end")
-    )
-    group = [key, "window_start", "window_end"]
-    numbered = running(windowed, [*group, "_side"], order, {"_row": Run("count")})
+    group = [key, "window_start", "window_end", "side"]
+    numbered = running(_sided(left, right, columns, ts, size), group, order, {"_row": Run("count")})
+    return numbered.select(*group, (F.col("_row") - 1).alias("position"), F.col(value).alias("value"))
 
-    def listed(side: int) -> Column:
-        # at most chunk_rows entries per list
-        entries = F.collect_list(F.when(F.col("_side") == side, F.struct("_row", value)))
-        return F.transform(F.array_sort(entries), lambda entry: entry[value])
 
-    return numbered.groupBy(*group, floor_div(F.col("_row") - 1, chunk_rows).alias("chunk")).agg(
-        listed(0).alias("left_values"), listed(1).alias("right_values")
-    )
+def window_cogroup_counts(left: DataFrame, right: DataFrame, key: str, ts: str, size: timedelta = timedelta(seconds=5)) -> DataFrame:
+    """Members of both sides per key and tumbling window."""
+    sides = {f"{side}_rows": F.count(F.when(F.col("side") == side, 1)) for side in ("left", "right")}
+    grouped = _sided(left, right, [key, ts], ts, size).groupBy(key, "window_start", "window_end")
+    return grouped.agg(*[count.alias(name) for name, count in sides.items()])
 
 
 def interval_join(
@@ -78,10 +78,11 @@ def interval_join(
 ) -> DataFrame:
     """Equal key and ``right.ts`` within ``[left.ts + lower, left.ts + upper]``, both ends included.
 
-    ``how`` is inner, left or full. Column names of the two sides must differ; for left and full, rows of
-    either side must be distinct. In batch the time range becomes an equality on buckets as wide as the
-    interval: a right row has one bucket, a left row at most two, and a hot key spreads over its buckets.
-    On streams the plain range condition lets Spark bound the join state.
+    ``how`` is inner, left or full. Column names of the two sides must differ. In batch the time range becomes
+    an equality on buckets as wide as the interval: a right row has one bucket, a left row at most two, and a
+    hot key spreads over its buckets. Rows without a partner are found by anti-joins on the same buckets, so
+    repeated rows stay repeated; a null key or time has no partner. On streams the plain range condition lets
+    Spark bound the join state.
     """
     in_range = (F.col(ts[1]) >= F.col(ts[0]) + durations.literal(lower)) & (
         F.col(ts[1]) <= F.col(ts[0]) + durations.literal(upper)
@@ -91,20 +92,24 @@ def interval_join(
         return left.join(right, same_key & in_range, how)
 
     width = max(durations.micros(upper - lower), 1)
-    at = position(left, ts[0])
-    buckets = F.sequence(
-        floor_div(at + durations.micros(lower), width), floor_div(at + durations.micros(upper), width)
-    )
-    bucketed_left = left.withColumn("_buckets", F.coalesce(F.size(buckets), F.lit(1))).withColumn("_lb", F.explode_outer(buckets))
-    bucketed_right = right.withColumn("_rb", floor_div(position(right, ts[1]), width))
-    joined = bucketed_left.join(bucketed_right, same_key & (F.col("_lb") == F.col("_rb")) & in_range, how)
+    at, right_at = position(left, ts[0]), position(right, ts[1])
+
+    def spread(side: DataFrame, earliest: Column, latest: Column, name: str) -> DataFrame:
+        return side.withColumn(name, F.explode(F.sequence(floor_div(earliest, width), floor_div(latest, width))))
+
+    reached = spread(left, at + durations.micros(lower), at + durations.micros(upper), "_lb")
+    placed = right.withColumn("_rb", floor_div(right_at, width))
+    met = same_key & (F.col("_lb") == F.col("_rb")) & in_range
     columns = [*left.columns, *right.columns]
+    joined = reached.join(placed, met, "inner").select(*columns)
     if how == "inner":
-        return joined.select(*columns)
-    # a left row is unmatched when it found no partner in any of its buckets
-    merged = joined.groupBy(*columns, "_buckets").agg(F.count(F.lit(1)).alias("_rows"), F.count("_rb").alias("_partners"))
-    elsewhere_matched = (F.col("_partners") == 0) & (F.col("_rows") < F.col("_buckets"))
-    return merged.where(~elsewhere_matched).select(*columns)
+        return joined
+    sought = spread(right, right_at - durations.micros(upper), right_at - durations.micros(lower), "_rb")
+    lonely = left.withColumn("_lb", floor_div(at, width)).join(sought, met, "left_anti").drop("_lb")
+    parts = [joined, lonely]
+    if how == "full":
+        parts.append(placed.join(reached, met, "left_anti").drop("_rb"))
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts).select(*columns)
 
 
 def reconcile(

@@ -11,17 +11,14 @@ slices before it travels between them:
 Rows, carry rows and halo rows are shuffled once by ``(key, slice)`` and sorted once. Keys below the
 limit form one slice and need neither; without any hot key the result is the plain window.
 
-Which keys to cut is found when an operator is applied, by a job that counts rows per key (two columns,
-map-side combined) and writes the few cuts to the shared folder, so that every later reading of the input
-is cut alike.
+Hot keys and their cuts are found when an operator is applied, by jobs that count rows per key and range-sort the
+order columns of hot keys' rows. Every ``max_rows``-th row of a key in its order is a cut. Cuts are whole order values
+(all order columns, NULLs first, any type Spark can sort), they are written to the shared folder, and rows are compared
+with the written values, so every later reading of the input is cut alike. A slice has at most ``max_rows`` rows however
+the order values are spread; only rows with equal order values, which no order tells apart, stay together.
 
-Slices are cut twice. The first cut divides the span of a key's leading order column evenly. Where rows
-bunch up and a slice is still above the limit, the second cut divides that slice again: along the same
-column, or, if all its rows share one value there (coarse timestamps), along the next order column.
-
-Sizes: only groups of more than ``max_rows`` rows are cut, so at most ``total rows / max_rows`` entries
-are in each broadcast table of cuts; a key has about ``2 * its rows / max_rows`` slices per cut, which
-bounds the scan over its slice summaries.
+Sizes: a key of n rows has n / max_rows cuts, so all cuts are at most rows / max_rows values. They are broadcast below
+``BROADCAST_CUTS`` of them and otherwise joined as Spark sees fit.
 
 The input is read more than once and must give the same rows each time.
 """
@@ -30,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F, types as T
 
@@ -38,7 +36,9 @@ from tidemark.session import shared_folder
 MAX_ROWS_CONF = "spark.tidemark.maxRowsPerSlice"
 DEFAULT_MAX_ROWS = 4_000_000
 
-_SLICES = ("_slice", "_subslice")
+#: Cut values that are broadcast at most.
+BROADCAST_CUTS = 100_000
+_SLICE = "_slice"
 _EVERYTHING = "_everything"
 _IS_ROW = "_is_row"
 
@@ -61,73 +61,84 @@ def floor_div(value: Column, width: int | Column) -> Column:
     return F.call_function("div", value - F.pmod(value, width), width)
 
 
-def _cuts(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """For every group above the row limit, along which order column, from where and how wide to cut it."""
-    limit = max_rows_per_slice(df.sparkSession)
-    first, second = position(df, order[0]), position(df, order[1]) if len(order) > 1 else None
-    if first is None:
-        raise TypeError(f"cannot cut along {order[0]!r}: need an integer or timestamp column")
-    second = first if second is None else second
-    sizes = df.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(first).alias("_lo1"),
-        F.max(first).alias("_hi1"),
-        F.min(second).alias("_lo2"),
-        F.max(second).alias("_hi2"),
-    )
-    by_first = F.col("_hi1") > F.col("_lo1")
-    low = F.when(by_first, F.col("_lo1")).otherwise(F.col("_lo2"))
-    high = F.when(by_first, F.col("_hi1")).otherwise(F.col("_hi2"))
-    width = F.ceil((high - low + 1) / (F.ceil(F.col("_n") / limit) * 2)).cast("long")
-    return sizes.where(F.col("_n") > limit).select(
-        *[F.col(g).alias(f"_cut_{g}") for g in groups], by_first.alias("_by_first"), low.alias("_low"), width.alias("_width")
-    )
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _cut(df: DataFrame, cuts: DataFrame, groups: Sequence[str], order: Sequence[str], out: str, how: str) -> DataFrame:
-    """Number the slices of cut groups from 0; ``how='inner'`` keeps only rows of cut groups."""
-    first, second = position(df, order[0]), position(df, order[1]) if len(order) > 1 else None
-    at = first if second is None else F.when(F.col("_by_first"), first).otherwise(second)
-    same_group = [F.col(g).eqNullSafe(F.col(f"_cut_{g}")) for g in groups]
-    number = F.call_function("div", at - F.col("_low"), F.col("_width"))
-    # proven size: one entry per group of more than max_rows rows
-    joined = df.join(F.broadcast(cuts), same_group, how)
-    return joined.select(*df.columns, F.coalesce(number, F.lit(0).cast("long")).alias(out))
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(Column.__and__, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
 
 
-def _found(cuts: DataFrame) -> DataFrame | None:
-    """The cuts as a written table, or None when there are none."""
-    kept = cuts.persist()
-    try:
-        if kept.isEmpty():
-            return None
-        folder = shared_folder(cuts.sparkSession, "cuts")
-        kept.write.parquet(folder)
-        return cuts.sparkSession.read.schema(cuts.schema).parquet(folder)
-    finally:
-        kept.unpersist()
+def _hot(sizing: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """Keys of more than ``limit`` rows, as a written table; None when there are none."""
+    names = [f"_cut_{k}" for k in keys]
+    sizes = sizing.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = _written(sizes.where(F.col("_n") > limit), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
+def _cuts(sizing: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
+    """For every hot key, the order values of every ``limit``-th row as an ascending array, and every so many of these.
+
+    Rows of hot keys are range-sorted by key and order, which tasks share however few the keys are; a row's place in its
+    key follows from its place in its task and the rows of earlier tasks.
+    """
+    names = [f"_cut_{k}" for k in keys]
+    at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("_at")
+    rows = sizing.join(hot, _same(keys, names), "inner").select(*names, at)
+    ranked = _written(rows.orderBy(*names, "_at").withColumn("_id", F.monotonically_increasing_id()), "hot-rows")
+    by_task = ranked.withColumn("_task", F.shiftrightunsigned("_id", 33))
+    sizes = by_task.groupBy(*names, "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy(*names).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *[F.col(n).alias(f"_s{n}") for n in names],
+        F.col("_task").alias("_s_task"),
+        "_first",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+    )
+    matched = by_task.join(starts, _same([*names, "_task"], [f"_s{n}" for n in [*names, "_task"]]))
+    place = F.col("_before") + F.col("_id") - F.col("_first")
+    chosen = matched.where((place > 0) & (F.pmod(place, F.lit(limit)) == 0)).select(*names, "_at")
+    per_key = chosen.groupBy(*names).agg(F.array_sort(F.collect_set("_at")).alias("_points"))  # rows / limit values
+    step = F.ceil(F.sqrt(F.size("_points").cast("double"))).cast("int")
+    heads = F.filter("_points", lambda _, i: i % F.col("_step") == 0)
+    return per_key.withColumn("_step", step).withColumn("_heads", heads)
+
+
+def _slice_number(order: Sequence[str]) -> Column:
+    """How many cuts are at or below a row's order value: first over the heads, then over the points behind one head."""
+    at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    group = F.size(F.filter("_heads", lambda point: point <= at))
+    inner = F.slice("_points", (F.greatest(group, F.lit(1)) - 1) * F.col("_step") + 1, F.col("_step"))
+    within = (group - 1) * F.col("_step") + F.size(F.filter(inner, lambda point: point <= at))
+    return F.when(F.col("_points").isNull() | (group == 0), 0).otherwise(within).cast("long")
 
 
 def _sliced(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], sizing: DataFrame | None
 ) -> tuple[DataFrame, DataFrame, list[str]] | None:
-    """All rows with their slice, the rows of cut keys, and the slice columns; None without hot keys.
+    """All rows with their slice, the rows of cut keys, and the slice column; None without hot keys.
 
-    Cuts are found from ``sizing``, by default ``df`` itself.
+    Cuts are found from ``sizing``, by default ``df`` itself, in jobs that run at once.
     """
     if df.isStreaming:
         raise ValueError("row-order windows are batch only; use tidemark.streaming.processors on streams")
-    sizing = df if sizing is None else sizing
-    slice_, subslice = _SLICES
-    key_cuts = _found(_cuts(sizing, keys, order))
-    if key_cuts is None:
+    sizing = (df if sizing is None else sizing).select(*dict.fromkeys([*keys, *order]))
+    limit = max_rows_per_slice(df.sparkSession)
+    hot = _hot(sizing, keys, limit)
+    if hot is None:
         return None
-    rows, hot = (_cut(df, key_cuts, keys, order, slice_, how) for how in ("left", "inner"))
-    slice_cuts = _found(_cuts(_cut(sizing, key_cuts, keys, order, slice_, "inner"), [*keys, slice_], order))
-    if slice_cuts is None:
-        return rows, hot, [slice_]
-    rows, hot = (_cut(part, slice_cuts, [*keys, slice_], order, subslice, "left") for part in (rows, hot))
-    return rows, hot, [slice_, subslice]
+    cuts = _written(_cuts(sizing, hot, keys, order, limit), "cuts")
+    points = cuts.agg(F.sum(F.size("_points"))).first()[0] or 0
+    if points <= BROADCAST_CUTS:
+        cuts = F.broadcast(cuts)
+    names = [f"_cut_{k}" for k in keys]
+    rows, hot_rows = (
+        df.join(cuts, _same(keys, names), how).select(*df.columns, _slice_number(order).alias(_SLICE)) for how in ("left", "inner")
+    )
+    return rows, hot_rows, [_SLICE]
 
 
 @dataclass(frozen=True)

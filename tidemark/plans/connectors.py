@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import functions as F, types as T
 
 from tidemark.plans.registry import query, table
 from tidemark.plans.rows import clicks
 from tidemark.session import shared_folder
 from tidemark.sinks import files as file_sinks, stores
-from tidemark.sources import files, replay
+from tidemark.sources import files
 
 _CLICKS = "SELECT CAST(user_id AS VARCHAR) AS user_name, event_type AS url, (epoch_us(ts) // 1000) AS ts FROM events"
 
@@ -55,11 +53,13 @@ def stream_to_table(spark, sf):
 
 @query("src_replay_clicks", "SELECT event_id, user_id, event_type FROM events")
 def src_replay_clicks(spark, sf):
-    replay.register(spark)
-    schema = "event_id long, user_id long, event_type string"
-    path = f"{sf}/events.parquet"
-    uri = path if "://" in path else Path(path).absolute().as_uri()
-    return spark.read.format(replay.FORMAT).schema(schema).option("path", uri).option("stripes", 4).load()
+    """Clicks replayed as a stream by Spark's own file source, whose offsets are the files it has seen."""
+    schema = T.StructType.fromDDL("event_id long, user_id long, event_type string")
+    stream = files.parquet_stream(spark, f"{sf}/events.parquet", schema)
+    folder, checkpoint = shared_folder(spark, "replay"), shared_folder(spark, "replay-offsets")
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start(folder).awaitTermination()
+    return spark.read.schema(schema).parquet(folder)
 
 
 @query("sink_csv_roundtrip", "SELECT event_id, user_id, event_type, value FROM events")
@@ -67,14 +67,14 @@ def sink_csv_roundtrip(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     folder = shared_folder(spark, "csv-sink")
     file_sinks.write_csv(events, folder)
-    return files.csv_table(spark, folder, events.schema)
+    return files.written_csv(spark, folder, events.schema)
 
 
 @query("sink_text_files", "SELECT event_type || ' -- ' || event_id AS line FROM events")
 def sink_text_files(spark, sf):
     """A stream through the rolling text sink, read back."""
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
-    stream = files.parquet_stream(spark, sf, schema, glob="events.parquet")
+    stream = files.parquet_stream(spark, f"{sf}/events.parquet", schema)
     line = F.concat("event_type", F.lit(" -- "), F.col("event_id").cast("string"))
     folder, checkpoint = shared_folder(spark, "text-sink"), shared_folder(spark, "text-sink-offsets")
     file_sinks.start_rolling_text(stream.select(line.alias("value")), folder, checkpoint, available_now=True).awaitTermination()

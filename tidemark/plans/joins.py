@@ -33,30 +33,32 @@ def window_join(spark, sf):
     return joins.window_join(left, right, ("p_user", "c_user"), ("p_ts", "c_ts"), DAY)
 
 
+_DAY_OF = "date_trunc('day', ts)::TIMESTAMP AS window_start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS window_end"
+
+
 @query(
     "window_cogroup",
-    """SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS window_start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS window_end,
-              CAST(0 AS BIGINT) AS chunk,
-              coalesce(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, event_id) FILTER (WHERE event_type = 'purchase'), '')
-                AS left_values,
-              coalesce(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, event_id) FILTER (WHERE event_type = 'click'), '')
-                AS right_values
-       FROM events WHERE event_type IN ('purchase', 'click') GROUP BY ALL""",
+    f"""SELECT user_id, {_DAY_OF}, CASE event_type WHEN 'purchase' THEN 'left' ELSE 'right' END AS side,
+               row_number() OVER (PARTITION BY user_id, date_trunc('day', ts), event_type ORDER BY ts, event_id) - 1 AS position,
+               event_id AS value
+        FROM events WHERE event_type IN ('purchase', 'click')""",
 )
 def window_cogroup(spark, sf):
     events = table(spark, sf, "events")
-    grouped = joins.window_cogroup(
-        events.where("event_type = 'purchase'"),
-        events.where("event_type = 'click'"),
-        "user_id",
-        "ts",
-        ["ts", "event_id"],
-        "event_id",
-        DAY,
-    )
-    for side in ("left_values", "right_values"):
-        grouped = grouped.withColumn(side, F.array_join(F.col(side).cast("array<string>"), ","))
-    return grouped
+    purchases, clicks = events.where("event_type = 'purchase'"), events.where("event_type = 'click'")
+    return joins.window_cogroup(purchases, clicks, "user_id", "ts", ["ts", "event_id"], "event_id", DAY)
+
+
+@query(
+    "window_cogroup_counts",
+    f"""SELECT user_id, {_DAY_OF}, count(*) FILTER (WHERE event_type = 'purchase') AS left_rows,
+               count(*) FILTER (WHERE event_type = 'click') AS right_rows
+        FROM events WHERE event_type IN ('purchase', 'click') GROUP BY ALL""",
+)
+def window_cogroup_counts(spark, sf):
+    events = table(spark, sf, "events")
+    purchases, clicks = events.where("event_type = 'purchase'"), events.where("event_type = 'click'")
+    return joins.window_cogroup_counts(purchases, clicks, "user_id", "ts", DAY)
 
 
 @query(

@@ -38,17 +38,8 @@ def url_view_count(spark, sf):
 
 @query("manual_tumble_count", _tumble_sql("event_type"))
 def manual_tumble_count(spark, sf):
-    """Batch twin of the hand-kept window state in ``processors.ManualTumble``: start by arithmetic, not ``window``."""
-    day = 86_400_000_000
-    start = F.col("_us") - F.pmod(F.col("_us"), F.lit(day))
-    rows = table(spark, sf, "events").select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("_us"))
-    counts = rows.groupBy(start.alias("_start"), "event_type").agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.select(
-        F.timestamp_micros("_start").cast("timestamp_ntz").alias("window_start"),
-        F.timestamp_micros(F.col("_start") + day).cast("timestamp_ntz").alias("window_end"),
-        "event_type",
-        "cnt",
-    )
+    """Window state that a program keeps by hand is an ordinary window here; same rows as ``url_view_count``."""
+    return windows.tumble_count(table(spark, sf, "events"), "ts", DAY, ["event_type"])
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -34,17 +36,31 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_MADE: list[tuple[SparkSession, str]] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
+    """A fresh folder every executor can reach, below ``spark.checkpoint.dir``; it is removed when the program ends.
 
-    Only a local-mode session without that setting gets a folder on this machine.
+    A local session without that setting is its only machine, and gets a folder there.
     """
     base = spark.conf.get(CHECKPOINT_DIR_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError(f"set {CHECKPOINT_DIR_CONF} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(remove_folders)
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append((spark, path))
+    return path
 
 
+def remove_folders() -> None:
+    """Remove all shared folders made so far; what was read from them can't be read again."""
+    while _MADE:
+        spark, path = _MADE.pop()
+        with contextlib.suppress(Exception):  # the JVM may have ended before
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)

@@ -9,6 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import durations
 
+#: NULL is nothing between commas and an empty string is quoted; quotes are doubled, and no blank or line end is dropped.
+WRITE_LOSSLESS = {"lineSep": "\n", "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+#: Reading needs a stand-in for NULL, or empty strings would be taken for it.
+READ_LOSSLESS = WRITE_LOSSLESS | {"multiLine": "true", "emptyValue": "", "nullValue": "\x00null\x00"}
+
 
 def start_rolling_text(
     df: DataFrame,
@@ -31,10 +36,10 @@ def start_rolling_text(
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A finished DataFrame as a CSV table."""
-    df.write.mode("errorifexists").csv(path)
+    df.write.mode("errorifexists").options(**WRITE_LOSSLESS).csv(path)
 
 
 def start_csv(df: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """An append-only stream as a CSV table."""
-    writer = df.writeStream.format("csv").option("checkpointLocation", checkpoint).outputMode("append")
+    writer = df.writeStream.format("csv").options(**WRITE_LOSSLESS).option("checkpointLocation", checkpoint).outputMode("append")
     return (writer.trigger(availableNow=True) if available_now else writer).start(path)

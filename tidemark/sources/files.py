@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import durations
 from tidemark.schemas import CLICK_CSV
+from tidemark.sinks.files import READ_LOSSLESS
 
 
 def text_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -35,13 +36,23 @@ def csv_table(
     return table
 
 
-def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1, glob: str | None = None
-) -> DataFrame:
-    """A folder of parquet files as a stream, a few files per micro-batch, oldest first."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+def written_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A CSV table that ``sinks.files.write_csv`` or ``start_csv`` wrote, with blanks, line ends and empty strings as they were."""
+    return spark.read.schema(schema).options(**READ_LOSSLESS).csv(path)
+
+
+def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A parquet table (a file, a folder, or nested partition folders) as a stream, all new files in each micro-batch.
+
+    ``max_files_per_trigger`` bounds a micro-batch, oldest files first.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        # a stream watches folders: of this one, the file alone
+        return reader.option("pathGlobFilter", place.getName()).parquet(place.getParent().toString())
     return reader.parquet(path)
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from datetime import timedelta
-from itertools import islice
 
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -266,37 +265,6 @@ def timers(df: DataFrame, key: str, delay: timedelta = timedelta(seconds=10), ev
     return _run(df, key, processor, schema, "EventTime" if event_time else "ProcessingTime")
 
 
-class _ManualTumble(Processor):
-    def __init__(self, size_ms: int):
-        self.size_ms = size_ms
-
-    def init(self, handle):
-        self.handle = handle
-        self.counts = handle.getMapState("counts", "start bigint", "n bigint")
-
-    def handleInputRows(self, key, rows, timerValues):
-        for row in rows:
-            start = row.ts - row.ts % self.size_ms
-            n = self.counts.getValue((start,))[0] if self.counts.containsKey((start,)) else 0
-            self.counts.updateValue((start,), (n + 1,))
-            self.handle.registerTimer(start + self.size_ms - 1)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        end = expiredTimerInfo.getExpiryTimeInMs() + 1
-        start = (end - self.size_ms,)
-        if self.counts.containsKey(start):
-            n = self.counts.getValue(start)[0]
-            self.counts.removeKey(start)
-            yield self.row(*key, start[0], end, n)
-
-
-def manual_tumble(df: DataFrame, key: str, size: timedelta = timedelta(seconds=10)) -> DataFrame:
-    """A tumbling count kept by hand: map state per window, emitted by a timer at its last millisecond."""
-    schema = _schema(df, key, ("window_start", "long"), ("window_end", "long"), ("cnt", "long"))
-    return _run(df, key, _ManualTumble(_millis(size)), schema, "EventTime")
-
-
 class _PeriodicCount(InOrder):
     def __init__(self, period_ms: int):
         self.period_ms = period_ms
@@ -453,43 +421,34 @@ def reconcile(df: DataFrame, key: str, wait: timedelta = timedelta(seconds=5)) -
 
 
 class _CoGroup(Processor):
-    def __init__(self, size_ms: int, chunk_rows: int):
-        self.size_ms, self.chunk_rows = size_ms, chunk_rows
+    def __init__(self, size_ms: int):
+        self.size_ms = size_ms
 
     def init(self, handle):
         self.handle = handle
-        self.lists = [handle.getListState(name, "value bigint") for name in ("left", "right")]
+        self.members = {side: handle.getListState(side, "value bigint") for side in ("left", "right")}
 
     def handleInputRows(self, key, rows, timerValues):
-        sides: tuple[list, list] = ([], [])
         for row in sorted(rows, key=lambda r: r.seq):
-            sides[row.side].append((row.value,))
-        for state, values in zip(self.lists, sides):
-            if values:
-                state.appendList(values)
+            self.members[row.side].appendValue((row.value,))
         self.handle.registerTimer(key[1] + self.size_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        left, right = (iter(s.get()) if s.exists() else iter(()) for s in self.lists)
-        chunk = 0
-        while True:
-            pieces = [[r[0] for r in islice(side, self.chunk_rows)] for side in (left, right)]
-            if not any(pieces):
-                break
-            yield self.row(key[0], key[1], key[1] + self.size_ms, chunk, *pieces)
-            chunk += 1
-        for state in self.lists:
-            state.clear()
-
-
-def window_cogroup(df: DataFrame, key: str, size: timedelta = timedelta(seconds=5), chunk_rows: int = 10_000) -> DataFrame:
-    """Both sides' ``value`` lists per key and window, in arrival order, in chunks of ``chunk_rows``.
-
-    The two streams come as one, with ``side`` 0 or 1.
+        for side, state in self.members.items():
+            if state.exists():
+                for position, (value,) in enumerate(state.get()):
+                    yield self.row(key[0], key[1], key[1] + self.size_ms, side, position, value)
+                state.clear()
+
+
+def window_cogroup(df: DataFrame, key: str, size: timedelta = timedelta(seconds=5)) -> DataFrame:
+    """Both sides' ``value`` per key and window, a row per member in arrival order.
+
+    The two streams come as one, with ``side`` left or right.
     """
     size_ms = _millis(size)
     started = df.withColumn("window_start", F.col("ts") - F.pmod("ts", F.lit(size_ms)))
-    lists = (("left_values", "array<bigint>"), ("right_values", "array<bigint>"))
-    schema = _schema(df, key, ("window_start", "long"), ("window_end", "long"), ("chunk", "long"), *lists)
-    return _run(started, [key, "window_start"], _CoGroup(size_ms, chunk_rows), schema, "EventTime")
+    members = (("side", "string"), ("position", "long"), ("value", "long"))
+    schema = _schema(df, key, ("window_start", "long"), ("window_end", "long"), *members)
+    return _run(started, [key, "window_start"], _CoGroup(size_ms), schema, "EventTime")
