@@ -1,4 +1,4 @@
-"""Explicit changelog rows (insert, update-before, update-after) of a grouped count."""
+"""Explicit changelog rows (insert, update-before, update-after) of grouped aggregates."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.keyed import running_count
+from tidemark.operators.ordered import over_rows
 
 INSERT, UPDATE_BEFORE, UPDATE_AFTER = "+I", "-U", "+U"
 
@@ -25,3 +26,29 @@ def count_changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
         F.array(change(0, UPDATE_BEFORE, F.col("_new") - 1), change(1, UPDATE_AFTER, F.col("_new")))
     )
     return counted.select(*order, *[k for k in keys if k not in order], F.inline(changes))
+
+
+def value_changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The changes of running ``values`` that ``df`` has after each row, whatever aggregate made them.
+
+    A key's first row inserts; a later row that changes any value takes the old ones back (``-U``) and sets the new
+    ones (``+U``); a row that changes none makes no row. ``part`` orders the two rows of a pair.
+    """
+    now = F.struct(*values)
+
+    def earlier(window):
+        return {"_before": F.lag(F.struct(*values)).over(window)}
+
+    compared = over_rows(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, 1, earlier)
+
+    def change(part: int, op: str, which):
+        return F.struct(F.lit(part).alias("part"), F.lit(op).alias("op"), which.alias("_v"))
+
+    before = F.col("_before")
+    changes = (
+        F.when(before.isNull(), F.array(change(0, INSERT, now)))
+        .when(~before.eqNullSafe(now), F.array(change(0, UPDATE_BEFORE, before), change(1, UPDATE_AFTER, now)))
+        .otherwise(F.array())
+    )
+    kept = [*order, *[k for k in keys if k not in order]]
+    return compared.select(*kept, F.inline(changes)).select(*kept, "part", "op", *[F.col("_v")[v].alias(v) for v in values])

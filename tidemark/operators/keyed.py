@@ -21,6 +21,14 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     return running(df, keys, order, {out: Run("count")})
 
 
+def running_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Run]) -> DataFrame:
+    """After each row, its key's rows so far reduced by an associative function per output column.
+
+    ``values`` name them as :class:`Run` (sum, max, min, first, last, count) over any expression of the row.
+    """
+    return running(df, keys, order, values)
+
+
 def max_field(df: DataFrame, keys: Sequence[str], field: str, order: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """The largest ``field`` per key, next to the ``keep`` columns of the key's *first* row."""
     first = F.min(F.struct(*order, *[c for c in keep if c not in order]))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,6 +35,33 @@ def consecutive(
     return matched.select(*keys, *[f"ts_{i}" for i in range(1, times)], F.col(ts).alias(f"ts_{times}"))
 
 
+def steps(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    conditions: Sequence[Column],
+    within: timedelta | None = None,
+    ts: str = "ts",
+) -> DataFrame:
+    """Directly consecutive rows of a key that meet ``conditions`` one after another; matches may overlap.
+
+    With ``within``, the last row comes strictly less than that after the first. One row per match with the event
+    times ``ts_1 .. ts_n``.
+    """
+    times = len(conditions)
+    met = [F.coalesce(c, F.lit(False)).alias(f"_met_{i}") for i, c in enumerate(conditions)]
+    marked = df.select(*dict.fromkeys([*keys, *order, ts]), *met)
+
+    def expressions(window):
+        hits = [F.lag(f"_met_{i}", times - 1 - i).over(window) if i < times - 1 else F.col(f"_met_{i}") for i in range(times)]
+        times_back = {f"ts_{times - back}": F.lag(ts, back).over(window) for back in range(times - 1, 0, -1)}
+        return {"_all": reduce(Column.__and__, hits), **times_back}
+
+    matched = over_rows(marked, keys, order, times - 1, expressions).where("_all")
+    found = matched.select(*keys, *[f"ts_{i}" for i in range(1, times)], F.col(ts).alias(f"ts_{times}"))
+    return found if within is None else found.where(F.col(f"ts_{times}") < F.col("ts_1") + _amount(df, ts, within))
+
+
 def alert_text(matches: DataFrame, key: str, times: int = 3) -> DataFrame:
     """The matches as alert lines."""
     stamps = F.concat_ws(", ", *[F.col(f"ts_{i}").cast("string") for i in range(1, times + 1)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import changelog, keyed, rows, states
+from tidemark.operators.ordered import Run
 from tidemark.plans.registry import query, table
 from tidemark.plans.rows import clicks
 
@@ -122,6 +123,47 @@ def changelog_group_count(spark, sf):
     return changelog.count_changelog(events, ["user_id"], ["event_id"])
 
 
+_WEIGHT = "(event_id % 3)"
+
+
+@query(
+    "changelog_weighted_avg",
+    f"""WITH r AS (SELECT event_id, user_id, CAST(sum(event_id * {_WEIGHT}) OVER w AS BIGINT) AS n,
+                          CAST(sum({_WEIGHT}) OVER w AS BIGINT) AS d
+                   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+             v AS (SELECT event_id, user_id, CASE WHEN d > 0 THEN n // d END AS average FROM r),
+             c AS (SELECT *, lag(average) OVER w AS old, row_number() OVER w AS k FROM v WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+        SELECT event_id, user_id, CAST(0 AS INTEGER) AS part, CASE WHEN k = 1 THEN '+I' ELSE '-U' END AS op,
+               CASE WHEN k = 1 THEN average ELSE old END AS average
+        FROM c WHERE k = 1 OR old IS DISTINCT FROM average
+        UNION ALL SELECT event_id, user_id, CAST(1 AS INTEGER), '+U', average FROM c WHERE k > 1 AND old IS DISTINCT FROM average""",
+)
+def changelog_weighted_avg(spark, sf):
+    """A user aggregate as a changelog: the whole-number average of event ids, weighted 0, 1 or 2."""
+    weight = F.col("event_id") % 3
+    sums = {"n": Run("sum", F.col("event_id") * weight), "d": Run("sum", weight)}
+    summed = keyed.running_reduce(table(spark, sf, "events").select("event_id", "user_id"), ["user_id"], ["event_id"], sums)
+    averaged = summed.withColumn("average", F.when(F.col("d") > 0, F.expr("n div d")))
+    return changelog.value_changelog(averaged, ["user_id"], ["event_id"], ["average"])
+
+
+@query(
+    "reduce_general",
+    """SELECT event_id, user_id, CAST(sum(event_id) OVER w AS BIGINT) AS id_sum, max(value) OVER w AS value_max,
+              min(event_type) OVER w AS type_min, first_value(ts) OVER w AS ts_first
+       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""",
+)
+def reduce_general(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    values = {
+        "id_sum": Run("sum", F.col("event_id")),
+        "value_max": Run("max", F.col("value")),
+        "type_min": Run("min", F.col("event_type")),
+        "ts_first": Run("first", F.col("ts")),
+    }
+    return keyed.running_reduce(events, ["user_id"], ["event_id"], values).select("event_id", "user_id", *values)
+
+
 @query(
     "keyed_state_tour",
     """SELECT event_id, user_id, lag(event_type) OVER w AS value_url, row_number() OVER w AS list_size,

@@ -27,6 +27,21 @@ def cep_three_fails(spark, sf):
     return _errors(spark, sf, 3)
 
 
+@query(
+    "cep_steps",
+    """WITH r AS (SELECT user_id, ts AS ts_1, lead(ts, 1) OVER w AS ts_2, lead(ts, 2) OVER w AS ts_3, event_type AS e1,
+                      lead(event_type, 1) OVER w AS e2, lead(event_type, 2) OVER w AS e3
+               FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+       SELECT user_id, ts_1, ts_2, ts_3 FROM r
+       WHERE e1 = 'view' AND e2 = 'click' AND e3 <> 'error' AND ts_3 < ts_1 + INTERVAL 2 DAY""",
+)
+def cep_steps(spark, sf):
+    """A view, then a click, then anything but an error, with nothing in between and in less than two days."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    kind = F.col("event_type")
+    return patterns.steps(events, ["user_id"], ["ts", "event_id"], [kind == "view", kind == "click", kind != "error"], 2 * DAY)
+
+
 @query(
     "cep_times_consecutive",
     f"""{_RUNS} SELECT user_id || ' failed 3 times in a row: ' || (epoch_us(ts_1) // 1000) || ', ' || (epoch_us(ts_2) // 1000) || ', ' || (epoch_us(ts_3) // 1000)
