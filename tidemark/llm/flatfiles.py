@@ -88,7 +88,7 @@ def scan(addresses: DataFrame, end_id: int, dtype: str = "<u2", block_bytes: int
     )
     sums = searched.select(
         "address", "block", F.floor(F.col("block") / _GROUP).alias("group"),
-        F.size("ends").cast("long").alias("ended"), F.coalesce(F.element_at("ends", -1), F.lit(-1)).alias("last"),
+        F.size("ends").cast("long").alias("ended"), F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(-1)).alias("last"),
     )
     groups = sums.groupBy("address", "group").agg(F.sum("ended").alias("g_ended"), F.max("last").alias("g_last"))
     over_groups = Window.partitionBy("address").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,9 +104,9 @@ def scan(addresses: DataFrame, end_id: int, dtype: str = "<u2", block_bytes: int
     )
     stitched = searched.join(before, ["address", "block"])
     at_end = (F.col("block") + 1) * step >= F.col("n")
-    tail = F.when(at_end & (F.coalesce(F.element_at("ends", -1), F.col("last")) < F.col("n") - 1), F.array("n")).otherwise(F.array().cast("array<long>"))
+    tail = F.when(at_end & (F.coalesce(F.try_element_at("ends", F.lit(-1)), F.col("last")) < F.col("n") - 1), F.array("n")).otherwise(F.array().cast("array<long>"))
     every = stitched.withColumn("ends", F.concat("ends", tail)).select("address", "ended", "last", "ends", F.posexplode("ends").alias("k", "end"))
-    start = F.when(F.col("k") == 0, F.col("last")).otherwise(F.element_at("ends", F.col("k"))) + 1
+    start = F.when(F.col("k") == 0, F.col("last")).otherwise(F.try_element_at("ends", F.col("k"))) + 1
     return every.select("address", (F.col("ended") + F.col("k")).alias("ordinal"), start.alias("start"), (F.col("end") - start).alias("n_tokens"))
 
 

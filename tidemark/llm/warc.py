@@ -225,7 +225,7 @@ def captures(all_records: DataFrame) -> DataFrame:
     )
     rest = all_records.where(F.col("type").isin("request", "metadata")).drop("payload")
     rest = rest.join(named_by.groupBy("record_id").agg(F.min("__named_by").alias("__named_by")), "record_id", "left")
-    keyed = rest.withColumn("capture_id", F.coalesce("__named_by", F.element_at("concurrent_to", 1), "record_id"))
+    keyed = rest.withColumn("capture_id", F.coalesce("__named_by", F.try_element_at("concurrent_to", F.lit(1)), "record_id"))
     one = {
         "request": F.struct("record_id", "uri", "date", "first_line"),
         "metadata": F.struct("record_id", "uri", "date", F.map_entries("notes").alias("notes")),
