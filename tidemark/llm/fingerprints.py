@@ -32,8 +32,8 @@ def with_sketch(frame: DataFrame, text: Column, name: str, scale: int = SCALE, k
     key = F.col(keys)
     run = F.transform(F.sequence(F.lit(0), F.size(key) - k), lambda i: F.xxhash64(*(key[i + j] for j in range(k))))
     all_hashes = F.when(F.size(key) >= k, run).when(F.size(key) > 0, F.array(F.xxhash64(key)))
-    limit = (1 << 63) // scale
-    kept = F.filter(all_hashes, lambda h: F.shiftrightunsigned(h, 1) < F.lit(limit))
+    limit = (1 << 63) // scale - 1
+    kept = F.filter(all_hashes, lambda h: F.shiftrightunsigned(h, 1) <= F.lit(limit))
     hashes = F.coalesce(F.array_sort(F.array_distinct(kept)), F.array().cast("array<bigint>"))
     return out.withColumn(name, F.struct(hashes.alias("hashes"), F.xxhash64(key).alias("whole"))).drop(keys)
 
