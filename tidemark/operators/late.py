@@ -31,18 +31,21 @@ def classify(
 ) -> DataFrame:
     """Add ``window_start``, ``window_end`` and ``lateness``.
 
-    ``seen_before`` is the largest event time that came before the first row, if any.
+    ``seen_before`` is the largest event time that came before the first row, if any. A row without an event time
+    belongs to no window and counts as late, so it is in the side output.
     """
     seen_rows = running(df, [], arrival, {"_seen": Run("max", F.col(ts), inclusive=False)})
     seen = F.col("_seen") if seen_before is None else F.greatest("_seen", seen_before)
-    windowed = seen_rows.withColumn("_w", F.window(ts, durations.text(size)))
+    windowed = seen_rows.where(F.col(ts).isNotNull()).withColumn("_w", F.window(ts, durations.text(size)))
     closes = F.col("_w").end + durations.literal(delay)
     verdict = (
         F.when(seen >= closes + durations.literal(lateness), LATE).when(seen >= closes, REFIRE).otherwise(ON_TIME)
     )
-    return windowed.select(
+    timed = windowed.select(
         *df.columns, F.col("_w").start.alias("window_start"), F.col("_w").end.alias("window_end"), verdict.alias("lateness")
     )
+    untimed = df.where(F.col(ts).isNull()).withColumn("lateness", F.lit(LATE))
+    return timed.unionByName(untimed, allowMissingColumns=True)
 
 
 def window_counts(classified: DataFrame, keys: Sequence[str]) -> DataFrame:

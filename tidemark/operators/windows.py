@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from datetime import timedelta
 from math import gcd
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark import durations
 from tidemark.operators.ordered import floor_div, number_rows
@@ -83,12 +83,23 @@ def cumulate_count(
         rows = df.select(window, F.col(ts).alias("_ts"), *keys).withColumn("window_end", _ends(WINDOW, "_ts", step))
         grouped = rows.groupBy(WINDOW, "window_end", *keys).agg(F.count(F.lit(1)).alias(out))
         return grouped.select(F.col(WINDOW).start.alias("window_start"), "window_end", *keys, out)
-    panes = _panes(df, ts, step, size, keys)
-    spread = panes.select(
+    # the window's sum up to each pane holds until the next pane that has rows: panes travel once, ends are made behind
+    panes = _panes(df, ts, step, size, keys).select(
         F.window(F.col(WINDOW).start, durations.text(size)).alias("_whole"), F.col(WINDOW).start.alias("_ts"), *keys, "_n"
     )
-    spread = spread.select(F.col("_whole").start.alias("window_start"), _ends("_whole", "_ts", step).alias("window_end"), *keys, "_n")
-    return spread.groupBy("window_start", "window_end", *keys).agg(F.sum("_n").alias(out))
+    panes = panes.select(F.col("_whole").start.alias("window_start"), F.col("_whole").end.alias("_end"), "_ts", *keys, "_n")
+    steps = Window.partitionBy("window_start", *keys).orderBy("_ts")
+    summed = panes.select(
+        "window_start",
+        "_end",
+        *keys,
+        F.sum("_n").over(steps.rowsBetween(Window.unboundedPreceding, 0)).alias(out),
+        "_ts",
+        F.coalesce(F.lead("_ts").over(steps), F.col("_end")).alias("_until"),
+    )
+    every = F.sequence(F.col("window_start") + durations.literal(step), F.col("_end"), durations.literal(step))
+    ends = F.filter(every, lambda e: (e > F.col("_ts")) & ((e <= F.col("_until")) | (F.col("_until") == F.col("_end"))))
+    return summed.select("window_start", F.explode(ends).alias("window_end"), *keys, out)
 
 
 def _ends(window: str, ts: str, step: timedelta) -> Column:

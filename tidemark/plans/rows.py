@@ -15,6 +15,11 @@ def arrival():
     return F.col("event_id") + F.pmod(F.col("event_id") * 37, F.lit(50))
 
 
+def delayed_arrival():
+    """Arrival by the clock, up to two and a half hours after the event: as disorderly at every scale."""
+    return F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(F.col("event_id") * 37, F.lit(50)) * 180
+
+
 def clicks(spark, sf):
     """Events in the click shape: user, url, epoch milliseconds."""
     millis = F.unix_millis(F.col("ts").cast("timestamp"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import late, over, timers, windows
 from tidemark.plans.registry import query, table
-from tidemark.plans.rows import arrival, clicks
+from tidemark.plans.rows import clicks, delayed_arrival
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
@@ -120,7 +120,7 @@ def count_window_avg_ts(spark, sf):
 
 _LATE = """
     WITH a AS (SELECT event_id, user_id, ts, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
-                      event_id + (event_id * 37) % 50 AS arrival FROM events),
+                      (epoch_us(ts) // 1000000) + (event_id * 37) % 50 * 180 AS arrival FROM events),
          s AS (SELECT *, max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a),
          l AS (SELECT event_id, user_id, ts, window_start, window_start + INTERVAL 1 HOUR AS window_end,
                       CASE WHEN seen >= window_start + INTERVAL 120 MINUTE THEN 'late'
@@ -129,7 +129,7 @@ _LATE = """
 
 
 def _classified(spark, sf):
-    arrivals = table(spark, sf, "events").select("event_id", "user_id", "ts", arrival().alias("arrival"))
+    arrivals = table(spark, sf, "events").select("event_id", "user_id", "ts", delayed_arrival().alias("arrival"))
     half = timedelta(minutes=30)
     return late.classify(arrivals, "ts", ["arrival", "event_id"], HOUR, half, half)
 
