@@ -24,16 +24,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` (smallest node reachable) of every node with an edge to another; edges have no direction.
 
     Rounds of large and small stars end in one star per component, after about as many rounds as the logarithm of the
-    longest chain. Each round is written; edges with a null end and loops count for nothing.
+    longest chain: when every node hangs on one other, and on none that hangs itself. Each round is written; edges with a
+    null end and loops count for nothing.
     """
     oriented = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    now, before = stored(oriented, "edges"), None
+    now = stored(oriented, "edges")
     while True:
-        print_of = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if print_of == before or not print_of[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
-        before = print_of
+        hanging = now.groupBy("a").agg(F.count("*").alias("n"))
+        middle = now.select("b").join(hanging.select(F.col("a").alias("b")), "b", "left_semi")
+        if hanging.where("n > 1").isEmpty() and middle.isEmpty():
+            leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return leaves.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         now = stored(_stars(stored(_stars(now, large=True), "stars"), large=False), "edges")
         released(now.sparkSession)

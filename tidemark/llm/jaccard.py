@@ -3,7 +3,8 @@
 Sets are sorted arrays of 64-bit shingle hashes. Linked documents share one of the first shingles of both sets in a common
 order, so documents meet in tiles of a shingle and a band of set sizes. In a tile, parity bitmaps decide first: the bits in
 which two bitmaps differ are at most the shingles in which the sets differ, which bounds the overlap from above. What
-passes is decided by intersecting the sorted arrays.
+passes is decided by intersecting the sorted arrays. Shingles that the same documents have, as those of a shared passage,
+make one tile.
 
 Three things keep hot groups from being multiplied out. Equal sets are one node. Documents that share a minimum hash are
 first compared with one leader each, and tiles pair only documents that these links leave apart. And shingles that many
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import released, stored
+from tidemark.llm.tables import likely, released, stored
 from tidemark.llm.words import SPACED, hashed_words, mixed, shingles, slices
 
 SHINGLE_WORDS = 5
@@ -43,11 +44,14 @@ def _sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 
 def _bits(n: int) -> int:
-    return max(_LEAST_BITS, 1 << (n - 1).bit_length()) if n else _LEAST_BITS
+    return max(_LEAST_BITS, 4 << (n - 1).bit_length()) if n else _LEAST_BITS
 
 
 def _parity(values: np.ndarray) -> bytes:
-    """Bit i is the parity of the number of hashes that fall on it; as many bits as hashes, up to a power of two."""
+    """Bit i is the parity of the number of hashes that fall on it; four bits or more for each hash, a power of two.
+
+    With fewer bits, differences cancel out so often that sets of 0.65 pass for 0.75.
+    """
     width = _bits(len(values))
     odd = np.bincount((values & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1
     return np.packbits(odd, bitorder="little").tobytes()
@@ -111,7 +115,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray, k: int) -> DataFrame:
 def _linked(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """The pairs ``a, b`` with 100 * intersection >= 75 * union, by their whole texts."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = stored(docs.join(ids, "doc_id", "left_semi"), "pair-texts")
+    texts = stored(likely(docs, ids), "pair-texts")
     left, right = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
     both = pairs.join(right, "b").join(left, "a")
 
@@ -227,7 +231,8 @@ def links(docs: DataFrame, k: int = SHINGLE_WORDS, frequent: int = FREQUENT, blo
     same = stored(same, "copies")
     led = stored(_linked(stored(_led(nodes), "led"), docs, k), "led-links")
     released(spark)
-    joined = components(led)
+    joined = stored(components(led), "led-components")
+    stars = joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
     counts = _prefixes(docs, np.zeros(0, np.uint64), k).groupBy("token").count().where(F.col("count") >= frequent)
     often = counts.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT).collect()
     late = np.sort(np.array([r.token for r in often], np.int64).view(np.uint64))
@@ -237,14 +242,16 @@ def links(docs: DataFrame, k: int = SHINGLE_WORDS, frequent: int = FREQUENT, blo
     about = nodes.select("doc_id", "band").join(joined, F.col("doc_id") == F.col("node"), "left")
     about = about.select("doc_id", "band", F.coalesce("component", "doc_id").alias("component")).distinct()
     token = Window.partitionBy("token")
-    apart = met.join(about, "doc_id").withColumns({"lo": F.min("component").over(token), "hi": F.max("component").over(token)})
-    tiles = _tiles(apart.where("lo <> hi").select("token", "doc_id", "band", "component"), block_rows)
+    members = F.struct(F.bit_xor(F.xxhash64("doc_id")).over(token).alias("digest"), F.count("*").over(token).alias("members"))
+    apart = met.join(about, "doc_id").withColumns({"lo": F.min("component").over(token), "hi": F.max("component").over(token), "of": members})
+    groups = apart.where("lo <> hi").select(F.col("of").alias("token"), "doc_id", "band", "component").distinct()
+    tiles = _tiles(groups.withColumn("token", F.xxhash64("token")), block_rows)
     drawn = tiles.join(nodes.select("doc_id", "n", "bitmap"), "doc_id")
     pairs = stored(_candidates(drawn), "candidates")
     released(spark)
     exact = stored(_linked(pairs, docs, k), "links")
     released(spark)
-    return shape.select("doc_id", "n"), reduce(DataFrame.unionByName, [same, led, exact])
+    return shape.select("doc_id", "n"), reduce(DataFrame.unionByName, [same, stars, exact])
 
 
 def joined(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = SHINGLE_WORDS) -> DataFrame:

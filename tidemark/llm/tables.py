@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,3 +39,33 @@ def numbered(frame: DataFrame, *order: Column, name: str = "rank", purpose: str
     place = F.col("__offset") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     joined = sorted_rows.withColumn("__task", task).join(offsets, "__task")
     return joined.select(*(F.col(f"`{c}`") for c in frame.columns), place.alias(name))
+
+
+#: Bits of the filter that :func:`likely` sends to all tasks, whatever the number of ids.
+FILTER_BITS = 1 << 24
+
+
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is in ``ids`` (doc_id), and some others that a later join leaves out.
+
+    A Bloom filter of a fixed size, two bits an id, is sent to where the documents lie; only what passes is moved. With
+    far more ids than bits it lets everything through, and the join that follows does all the work.
+    """
+    bits = [F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(FILTER_BITS)).alias("bit") for seed in (1, 2)]
+    placed = ids.select(F.explode(F.array(*bits)).alias("bit"))
+    one = F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")
+    words = placed.groupBy(F.floor(F.col("bit") / 64).alias("word")).agg(F.bit_or(one).alias("set")).toArrow()
+    held = np.zeros(FILTER_BITS // 64, np.uint64)
+    held[words.column("word").to_numpy()] = words.column("set").to_numpy().view(np.uint64)
+    shipped = docs.sparkSession.sparkContext.broadcast(held)
+
+    def passing(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for name in ("__bit_1", "__bit_2"):
+                at = batch.column(name).to_numpy()
+                keep &= (shipped.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+            yield batch.drop_columns(["__bit_1", "__bit_2"]).filter(pa.array(keep))
+
+    tagged = docs.withColumns({f"__bit_{i + 1}": b for i, b in enumerate(bits)})
+    return tagged.mapInArrow(passing, docs.schema)

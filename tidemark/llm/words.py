@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SEGMENT_BYTES = 1 << 20
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
