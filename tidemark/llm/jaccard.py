@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import likely, released, stored
+from tidemark.llm.tables import likely, released, small_batches, stored
 from tidemark.llm.words import SPACED, hashed_words, mixed, shingles, slices
 
 SHINGLE_WORDS = 5
@@ -215,11 +215,7 @@ def _candidates(tiles: DataFrame) -> DataFrame:
     return spread.mapInArrow(task, "a long, b long").distinct()
 
 
-def links(docs: DataFrame, k: int = SHINGLE_WORDS, frequent: int = FREQUENT, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, n`` of each row of ``docs`` (doc_id, text), and links ``a, b`` that have the join's components.
-
-    All links between different sets that the leaders' links do not already join are found; null ids link nothing.
-    """
+def _links(docs: DataFrame, k: int, frequent: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     shape = stored(sketches(docs, k), "sketches")
     sized = shape.where("n > 0 AND doc_id IS NOT NULL")
@@ -254,6 +250,15 @@ def links(docs: DataFrame, k: int = SHINGLE_WORDS, frequent: int = FREQUENT, blo
     return shape.select("doc_id", "n"), reduce(DataFrame.unionByName, [same, stars, exact])
 
 
+def links(docs: DataFrame, k: int = SHINGLE_WORDS, frequent: int = FREQUENT, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n`` of each row of ``docs`` (doc_id, text), and links ``a, b`` that have the join's components.
+
+    All links between different sets that the leaders' links do not already join are found; null ids link nothing.
+    """
+    with small_batches(docs.sparkSession):
+        return _links(docs, k, frequent, block_rows)
+
+
 def joined(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row: set size, and the smallest id reachable by links.
 
