@@ -133,6 +133,13 @@ def run_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, values: np
     return mixed(hashes)
 
 
+def chain_hashes(hashes: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n values from ``starts`` on, by prefix sums, however long they are."""
+    up, down = _POWERS.upto(len(hashes) + 1)
+    sums = np.concatenate((np.zeros(1, _U64), np.cumsum(hashes * up[: len(hashes)])))
+    return mixed((sums[starts + n] - sums[starts]) * down[starts])
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] = np.arange(97, 123)
 
