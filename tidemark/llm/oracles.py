@@ -76,3 +76,29 @@ WITH RECURSIVE d AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(other) FROM reach WHERE node = d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id)
 """
+
+OWNERS = f"""
+WITH d AS (SELECT doc_id, {_FOLDED} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)
+"""
+
+INFILL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l, sha256('7:' || doc_id) AS h FROM documents
+), e AS (
+  SELECT *, len(l) AS n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS r FROM d
+), f AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+      WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM e
+), g AS (
+  SELECT *, coalesce(array_to_string(l[1 : a], ''), '') AS p, coalesce(array_to_string(l[a + 1 : b], ''), '') AS m,
+    coalesce(array_to_string(l[b + 1 : n], ''), '') AS s FROM f
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM g
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, flatfiles, jaccard, mixing, oracles, passages, planes, tables, toxicity, urlfilter, warc
+from tidemark.llm import decontaminate, fingerprints, flatfiles, infill, jaccard, mixing, oracles, owners, passages, planes, tables, toxicity, urlfilter, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +118,19 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None
     return counts.select("doc_id", "n_tokens")
 
 
+def op12_exact_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return owners.owners(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infilled(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 RUNS: dict[str, Run] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_passages": op2_passages,
@@ -129,12 +142,16 @@ RUNS: dict[str, Run] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_separator_scan": op10_separator_scan,
+    "op12_exact_owners": op12_exact_owners,
+    "op13_infill": op13_infill,
 }
 SQL: dict[str, str] = {
     "op4_jaccard_join": oracles.JACCARD,
     "op5_url_filter": oracles.URL_FILTER,
     "op9_warc": oracles.WARC,
     "op6_decontaminate": oracles.DECONTAMINATE,
+    "op12_exact_owners": oracles.OWNERS,
+    "op13_infill": oracles.INFILL,
 }
 
 
