@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fingerprints, flatfiles, infill, jaccard, mixing, oracles, owners, passages, planes, tables, toxicity, urlfilter, warc
+from tidemark.llm import alignment, decontaminate, fingerprints, flatfiles, infill, jaccard, mixing, oracles, owners, passages, planes, tables, toxicity, urlfilter, warc
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +118,14 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str, tokenizer: str | None
     return counts.select("doc_id", "n_tokens")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    met = alignment.aligned(docs, byte_bpe(), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.scored(met, alignment.pair_counts(met))
+
+
 def op12_exact_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return owners.owners(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -142,6 +150,7 @@ RUNS: dict[str, Run] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_separator_scan": op10_separator_scan,
+    "op11_alignment": op11_alignment,
     "op12_exact_owners": op12_exact_owners,
     "op13_infill": op13_infill,
 }
