@@ -29,8 +29,10 @@ from tidemark.llm.words import slices, text_bytes
 BOTH, FIRST, SECOND = 0, 1, 2
 #: Pairs that are sent to all tasks at most, 17 bytes each; the others meet their links in a join.
 BROADCAST_PAIRS = 2_000_000
+#: Texts that are encoded at a time: their tokens are Python numbers for a while.
+SLICE_BYTES = 1 << 19
 #: Pairs that a task counts before it passes them on.
-TASK_PAIRS = 4_000_000
+TASK_PAIRS = 1_000_000
 
 
 def path_of(a_ends: list[int], b_ends: list[int]) -> np.ndarray:
@@ -168,7 +170,7 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str, doc_id: str = "doc_id
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, row = _pair(byte_level, pieces), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 a, a_at, b, b_at = pair.encoded(part.column("text"))
                 a_ends, b_ends = np.cumsum(pair.a.lengths[a]).tolist(), np.cumsum(pair.b.lengths[b]).tolist()
                 paths = [
@@ -216,7 +218,7 @@ def links(batch: pa.RecordBatch) -> Links:
 
 
 #: Documents are read back in parts of so many links.
-PART_LINKS = 1 << 20
+PART_LINKS = 1 << 18
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -281,6 +283,17 @@ def _grouped(group: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
     return of, np.concatenate((of[1:] != of[:-1], [True])) if len(of) else nothing
 
 
+_NAMES: dict[str, np.ndarray] = {}
+
+
+def _names(last: str, ids: np.ndarray) -> np.ndarray:
+    """Ids as text, each followed by a comma and by what follows a group's last one; kept for a worker."""
+    n = int(ids.max()) + 1 if len(ids) else 0
+    if last not in _NAMES or len(_NAMES[last]) < 2 * n:
+        _NAMES[last] = np.array([f"{i}{c}" for i in range(n + 1000) for c in (",", last)], object)
+    return _NAMES[last]
+
+
 def _printed(found: Links, batch: pa.RecordBatch) -> list[str]:
     """Each document's groups as ``a1,a2|b1;a3|b2,b3``."""
     group = np.cumsum(found.ends) - found.ends
@@ -291,11 +304,7 @@ def _printed(found: Links, batch: pa.RecordBatch) -> list[str]:
     a_before, b_before = (np.concatenate(([0], np.cumsum(np.bincount(g, minlength=groups)))) for g in (ga, gb))
     place_a, place_b = np.arange(n_a) + b_before[ga], np.arange(n_b) + a_before[gb + 1]
     texts = np.empty(n_a + n_b, object)
-    words, inverse = np.unique(np.concatenate((2 * a + a_closes, 2 * b + b_closes + (1 << 40))), return_inverse=True)
-    ends = {0: ",", 1: "|"}, {0: ",", 1: ";"}
-    names = np.array([f"{(w & ((1 << 40) - 1)) >> 1}{ends[w >> 40][w & 1]}" for w in words.tolist()], object)
-    named = names[inverse]
-    texts[place_a], texts[place_b] = named[:n_a], named[n_a:]
+    texts[place_a], texts[place_b] = _names("|", a)[2 * a + a_closes], _names(";", b)[2 * b + b_closes]
     counts = sum(pc.list_value_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a_ids", "b_ids"))
     ends_at = np.concatenate(([0], np.cumsum(counts))).tolist()
     listed = texts.tolist()
@@ -330,8 +339,10 @@ def scored(met: DataFrame, counts: DataFrame, broadcast_pairs: int = BROADCAST_P
                 place, there = looked_up(pairs)
                 doc, place, times = doc[there], place[there], times[there]
                 sums = np.zeros((2, n), np.int64)
-                np.add.at(sums[0], doc, times * shipped.value[1][place])
-                np.add.at(sums[1], doc, times * shipped.value[2][place])
+                for total, weight in zip(sums, (shipped.value[1][place], shipped.value[2][place]), strict=True):
+                    before = np.concatenate(([0], np.cumsum(times * weight)))  # rows of a document lie together
+                    at = np.searchsorted(doc, np.arange(n + 1))
+                    total[:] = before[at[1:]] - before[at[:-1]]
                 sizes = [pc.list_value_length(part.column(c)).cast(pa.int64()) for c in ("a_ids", "b_ids", "path")]
                 groups = np.bincount(found.doc[found.ends], minlength=n).astype(np.int64)
                 shas = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in _printed(found, part)]
