@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.tables import stored
-from tidemark.llm.tokens import encoder
+from tidemark.llm.tables import small_batches, stored
+from tidemark.llm.tokens import Encoder, Ids
 from tidemark.llm.words import slices, text_bytes
 
 #: How a link ends: both tokens end (and so a group does), the first one's alone, the second one's alone.
@@ -96,11 +96,27 @@ class Vocabulary:
         return b"".join(map(self.pieces.__getitem__, ids.tolist()))
 
 
+#: Distinct pieces of text that a worker remembers the first tokens of.
+CACHE_PIECES = 200_000
+
+
+class _Remembering(Encoder):
+    """An encoder that remembers less, as another tokenizer shares its worker, and nothing between tasks."""
+
+    def encode(self, texts: pa.Array) -> Ids:
+        if len(self._slots) > CACHE_PIECES:
+            self._forget()
+        return super().encode(texts)
+
+    def forget(self) -> None:
+        self._forget()
+
+
 class Pair:
     """Both tokenizers of a worker: byte-level ids of a blank and the text, and pieces of the text, which begin with a blank."""
 
     def __init__(self, byte_level: str, pieces: str) -> None:
-        self._first = encoder(byte_level, special_as_text=True)
+        self._first = _Remembering(byte_level, special_as_text=True)
         tokenizer, values = Tokenizer.from_file(byte_level), _byte_level()
         names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
         added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
@@ -109,6 +125,9 @@ class Pair:
         named = [(i, self._second.id_to_piece(i)) for i in range(self._second.get_piece_size())]
         self.b = Vocabulary.of([bytes([int(p[3:5], 16)]) if self._second.is_byte(i) else p.replace("▁", " ").encode() for i, p in named])
 
+    def forget(self) -> None:
+        self._first.forget()
+
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids and offsets of both; texts without tokens, or whose tokens' bytes are not a blank and the text, have none."""
         spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts.cast(pa.large_string()), pa.scalar("", pa.large_string()))
@@ -183,8 +202,10 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str, doc_id: str = "doc_id
                 numbers = pa.array(np.arange(row, row + part.num_rows), pa.int64())
                 row += part.num_rows
                 yield pa.RecordBatch.from_arrays([numbers, part.column("doc_id"), *columns], ["row", "doc_id", *_LISTS])
+        pair.forget()
 
-    return stored(wanted.mapInArrow(task, schema), "aligned")
+    with small_batches(docs.sparkSession):
+        return stored(wanted.mapInArrow(task, schema), "aligned")
 
 
 @dataclass(frozen=True)
@@ -270,7 +291,8 @@ def pair_counts(met: DataFrame) -> DataFrame:
             yield told()
 
     counted = met.select(*_LISTS).mapInArrow(task, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("docs"))
-    written = stored(counted, "pair-counts")
+    with small_batches(met.sparkSession):
+        written = stored(counted, "pair-counts")
     most = written.groupBy(F.col("a").alias("__a")).agg(F.max("docs").alias("__most"))
     return written.join(most, F.col("a") == F.col("__a")).select("a", "b", "docs", (F.col("docs") == F.col("__most")).alias("best"))
 
@@ -352,6 +374,8 @@ def scored(met: DataFrame, counts: DataFrame, broadcast_pairs: int = BROADCAST_P
     names = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     kinds = [T.LongType(), met.schema["doc_id"].dataType, *[T.LongType()] * 6, T.StringType()]
     out = met.mapInArrow(task, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
+    with small_batches(spark):
+        out = stored(out, "scored-links")
     if not many:
         return out.drop("row")
 
