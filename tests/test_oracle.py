@@ -15,7 +15,7 @@ SLICED = [
     "cep_three_fails", "cep_times_consecutive", "changelog_group_count", "count_window_avg_ts", "keyed_max_field_running",
     "keyed_state_tour", "late_side_output", "late_window_counts", "most_active_user", "over_avg_rows",
     "over_count_max_named", "reduce_click_count", "running_count", "window_cogroup", "cep_steps", "changelog_weighted_avg",
-    "reduce_general",
+    "reduce_general", "changelog_topn", "behavior_pattern_asof", "union_watermark", "expiring_count", "periodic_pv",
 ]
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark import durations
 from tidemark.operators.ordered import Run, position, floor_div, running
@@ -121,13 +121,15 @@ def reconcile(
 ) -> DataFrame:
     """Match app rows with platform rows that follow within ``wait``; report what is missing.
 
-    ``status`` is ``success``, ``platform_missing`` or ``app_missing``.
+    ``status`` is ``success``, ``platform_missing`` or ``app_missing``; a row with a NULL key or time has no partner.
     """
-    joined = interval_join(app, platform, key, ts, timedelta(0), wait, "full")
+    columns = [*app.columns, *platform.columns]
+    sides = app.withColumn("_app", F.lit(True)), platform.withColumn("_platform", F.lit(True))
+    joined = interval_join(*sides, key, ts, timedelta(0), wait, "full")
     status = (
-        F.when(F.col(key[1]).isNull(), "platform_missing").when(F.col(key[0]).isNull(), "app_missing").otherwise("success")
+        F.when(F.col("_platform").isNull(), "platform_missing").when(F.col("_app").isNull(), "app_missing").otherwise("success")
     )
-    return joined.withColumn("status", status)
+    return joined.select(*columns, status.alias("status"))
 
 
 def unbounded_join(left: DataFrame, right: DataFrame, key: tuple[str, str], how: str = "inner") -> DataFrame:
@@ -149,6 +151,29 @@ def union_streams(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def union_watermark(
+    frames: Sequence[DataFrame], arrival: Sequence[str], ts: str = "ts", delay: timedelta = timedelta(0), out: str = "watermark"
+) -> DataFrame:
+    """The union of ``frames`` with the input each row came from (``lane``) and the watermark it meets.
+
+    Each input's own watermark is its largest earlier event time in ``arrival`` order minus ``delay``; theirs together
+    is the smallest, and NULL until every input has sent an event time. Rows without one hold nothing back. The prefix
+    maxima of all inputs are taken in one ordered scan, cut into slices where it is long.
+    """
+    lanes = [frame.withColumn("lane", F.lit(i)) for i, frame in enumerate(frames)]
+    merged = reduce(DataFrame.unionByName, lanes)
+    names = [f"_seen_{i}" for i in range(len(lanes))]
+    runs = {name: Run("max", F.when(F.col("lane") == i, F.col(ts)), inclusive=False) for i, name in enumerate(names)}
+    seen = running(merged, [], [*arrival, "lane"], runs)
+    all_sent = reduce(Column.__and__, (F.col(name).isNotNull() for name in names))
+    smallest = F.least(*names) if len(names) > 1 else F.col(names[0])
+    if isinstance(merged.schema[ts].dataType, T.LongType):
+        smallest = smallest - F.lit(durations.micros(delay) // 1000).cast("long")
+    else:
+        smallest = smallest - durations.literal(delay)
+    return seen.withColumn(out, F.when(all_sent, smallest)).drop(*names)
+
+
 def route(df: DataFrame, routes: dict[str, Column], main: str = "main", out: str = "route") -> DataFrame:
     """Name the side output each row belongs to; the first matching condition wins."""
     chosen = F.lit(main)

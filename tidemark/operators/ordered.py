@@ -61,7 +61,8 @@ def floor_div(value: Column, width: int | Column) -> Column:
     return F.call_function("div", value - F.pmod(value, width), width)
 
 
-def _written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: later steps neither repeat it nor depend on its executors."""
     folder = shared_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
@@ -75,7 +76,7 @@ def _hot(sizing: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None
     """Keys of more than ``limit`` rows, as a written table; None when there are none."""
     names = [f"_cut_{k}" for k in keys]
     sizes = sizing.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count(F.lit(1)).alias("_n"))
-    hot = _written(sizes.where(F.col("_n") > limit), "hot-keys")
+    hot = written(sizes.where(F.col("_n") > limit), "hot-keys")
     return None if hot.isEmpty() else hot
 
 
@@ -88,7 +89,7 @@ def _cuts(sizing: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequenc
     names = [f"_cut_{k}" for k in keys]
     at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("_at")
     rows = sizing.join(hot, _same(keys, names), "inner").select(*names, at)
-    ranked = _written(rows.orderBy(*names, "_at").withColumn("_id", F.monotonically_increasing_id()), "hot-rows")
+    ranked = written(rows.orderBy(*names, "_at").withColumn("_id", F.monotonically_increasing_id()), "hot-rows")
     by_task = ranked.withColumn("_task", F.shiftrightunsigned("_id", 33))
     sizes = by_task.groupBy(*names, "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
     earlier = Window.partitionBy(*names).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
@@ -130,7 +131,7 @@ def _sliced(
     hot = _hot(sizing, keys, limit)
     if hot is None:
         return None
-    cuts = _written(_cuts(sizing, hot, keys, order, limit), "cuts")
+    cuts = written(_cuts(sizing, hot, keys, order, limit), "cuts")
     points = cuts.agg(F.sum(F.size("_points"))).first()[0] or 0
     if points <= BROADCAST_CUTS:
         cuts = F.broadcast(cuts)

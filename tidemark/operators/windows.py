@@ -97,9 +97,12 @@ def cumulate_count(
         "_ts",
         F.coalesce(F.lead("_ts").over(steps), F.col("_end")).alias("_until"),
     )
-    every = F.sequence(F.col("window_start") + durations.literal(step), F.col("_end"), durations.literal(step))
-    ends = F.filter(every, lambda e: (e > F.col("_ts")) & ((e <= F.col("_until")) | (F.col("_until") == F.col("_end"))))
-    return summed.select("window_start", F.explode(ends).alias("window_end"), *keys, out)
+    # a pane's own steps alone: from the first end behind it to the last one that the next pane does not begin behind
+    width = durations.micros(step)
+    start, at, until = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("window_start", "_ts", "_until"))
+    first, last = floor_div(at - start, width) + 1, floor_div(until - start, width)
+    ends = F.transform(F.sequence(first, last), lambda k: F.col("window_start") + k * durations.literal(step))
+    return summed.where(first <= last).select("window_start", F.explode(ends).alias("window_end"), *keys, out)
 
 
 def _ends(window: str, ts: str, step: timedelta) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import joins
 from tidemark.plans.registry import query, table
+from tidemark.plans.rows import delayed_arrival
 from tidemark.plans.windows import DAY, HOUR
 
 
@@ -119,6 +120,28 @@ def union_streams(spark, sf):
     return joins.union_streams(clicks, views)
 
 
+_ARRIVED = "(epoch_us(ts) // 1000000) + (event_id * 37) % 50 * 180"
+
+
+@query(
+    "union_watermark",
+    f"""WITH u AS (SELECT event_id, ts, {_ARRIVED} AS arrival, CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS lane
+                   FROM events WHERE event_type IN ('click', 'view', 'purchase')),
+             m AS (SELECT event_id, ts, lane, max(ts) FILTER (WHERE lane = 0) OVER w AS m0, max(ts) FILTER (WHERE lane = 1) OVER w AS m1,
+                          max(ts) FILTER (WHERE lane = 2) OVER w AS m2
+                   FROM u WINDOW w AS (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT event_id, ts, lane::INTEGER AS lane,
+               CASE WHEN m0 IS NOT NULL AND m1 IS NOT NULL AND m2 IS NOT NULL THEN least(m0, m1, m2) - INTERVAL 2 SECOND END AS watermark
+        FROM m""",
+)
+def union_watermark(spark, sf):
+    """Three inputs that arrive out of order: what each row meets is the smallest of their watermarks."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", delayed_arrival().alias("arrival"))
+    frames = [events.where(F.col("event_type") == kind).drop("event_type") for kind in ("click", "view", "purchase")]
+    marked = joins.union_watermark(frames, ["arrival", "event_id"], "ts", timedelta(seconds=2))
+    return marked.select("event_id", "ts", "lane", "watermark")
+
+
 @query(
     "split_route",
     """SELECT event_id, user_id, CASE event_type WHEN 'click' THEN 'clicks' WHEN 'purchase' THEN 'purchases' ELSE 'main' END AS route

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import changelog, keyed, rows, states
@@ -123,6 +125,37 @@ def changelog_group_count(spark, sf):
     return changelog.count_changelog(events, ["user_id"], ["event_id"])
 
 
+@query(
+    "changelog_topn",
+    """WITH r AS (SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY event_id) AS cnt FROM events),
+            t AS (SELECT event_id AS moment FROM r QUALIFY row_number() OVER (PARTITION BY cnt ORDER BY event_id) <= 3),
+            l AS (SELECT t.moment, r.user_id, max(r.cnt) AS cnt, max(r.event_id) AS reached
+                  FROM t JOIN r ON r.event_id <= t.moment GROUP BY t.moment, r.user_id),
+            p AS (SELECT moment, user_id, cnt, row_number() OVER (PARTITION BY moment ORDER BY cnt DESC, reached) AS row_num
+                  FROM l QUALIFY row_num <= 3),
+            c AS (SELECT *, lag({'u': user_id, 'n': cnt}) OVER (PARTITION BY row_num ORDER BY moment) AS old FROM p),
+            d AS (SELECT * FROM c WHERE old IS NULL OR old.u <> user_id OR old.n <> cnt)
+       SELECT moment AS event_id, row_num, 0::INTEGER AS part, CASE WHEN old IS NULL THEN '+I' ELSE '-U' END AS op,
+              CASE WHEN old IS NULL THEN user_id ELSE old.u END AS user_id, CASE WHEN old IS NULL THEN cnt ELSE old.n END AS cnt FROM d
+       UNION ALL SELECT moment, row_num, 1::INTEGER, '+U', user_id, cnt FROM d WHERE old IS NOT NULL""",
+)
+def changelog_topn(spark, sf):
+    """The three users with the most events, place by place, as they change."""
+    return changelog.top_n_changelog(table(spark, sf, "events").select("event_id", "user_id"), "user_id", "event_id", 3)
+
+
+@query(
+    "expiring_count",
+    """WITH g AS (SELECT event_id, user_id, ts, row_number() OVER w AS k,
+                         ts >= lag(ts) OVER w + INTERVAL 2 DAY AS gone FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+            s AS (SELECT *, sum(CASE WHEN gone THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY k) AS run FROM g)
+       SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id, run ORDER BY k) AS cnt FROM s""",
+)
+def expiring_count(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return states.expiring_count(events, ["user_id"], ["ts", "event_id"], "ts", timedelta(days=2))
+
+
 _WEIGHT = "(event_id % 3)"
 
 

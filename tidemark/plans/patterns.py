@@ -108,3 +108,31 @@ def behavior_pattern(spark, sf):
 )
 def behavior_pattern_latest(spark, sf):
     return rules.behavior_pattern(table(spark, sf, "events"), _rules(spark), "user_id", ["event_id"], "event_type", "latest")
+
+
+_KINDS = "['view', 'click', 'signup', 'purchase', 'error']"
+
+
+def _dated_rules(events):
+    """Every 53rd event sets a new rule over two kinds of events, dealt by its id."""
+    kinds = F.array(*map(F.lit, ("view", "click", "signup", "purchase", "error")))
+    pick = lambda n: F.element_at(kinds, (F.floor(F.col("event_id") / n) % 5 + 1).cast("int"))
+    return events.where(F.col("event_id") % 53 == 0).select("ts", "event_id", pick(53).alias("action1"), pick(265).alias("action2"))
+
+
+@query(
+    "behavior_pattern_asof",
+    f"""WITH p AS (SELECT event_id, user_id, ts, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS action1,
+                          event_type AS action2 FROM events),
+             r AS (SELECT ts, event_id, {_KINDS}[event_id // 53 % 5 + 1] AS r1, {_KINDS}[event_id // 265 % 5 + 1] AS r2
+                   FROM events WHERE event_id % 53 = 0),
+             o AS (SELECT ts, event_id, 0 AS side, r1, r2, NULL AS user_id, NULL AS action1, NULL AS action2 FROM r
+                   UNION ALL SELECT ts, event_id, 1, NULL, NULL, user_id, action1, action2 FROM p),
+             v AS (SELECT *, last_value(r1 IGNORE NULLS) OVER w AS v1, last_value(r2 IGNORE NULLS) OVER w AS v2
+                   FROM o WINDOW w AS (ORDER BY ts, event_id, side ROWS UNBOUNDED PRECEDING))
+        SELECT user_id, ts, event_id, action1, action2 FROM v WHERE side = 1 AND action1 = v1 AND action2 = v2""",
+)
+def behavior_pattern_asof(spark, sf):
+    """Each pair of actions against the rule that was valid at the second one."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    return rules.behavior_pattern_at(events, _dated_rules(events), "user_id", ["ts", "event_id"], "event_type")
