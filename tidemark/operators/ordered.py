@@ -68,11 +68,11 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+def same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(Column.__and__, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
 
 
-def _hot(sizing: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+def hot_keys(sizing: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
     """Keys of more than ``limit`` rows, as a written table; None when there are none."""
     names = [f"_cut_{k}" for k in keys]
     sizes = sizing.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count(F.lit(1)).alias("_n"))
@@ -88,7 +88,7 @@ def _cuts(sizing: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequenc
     """
     names = [f"_cut_{k}" for k in keys]
     at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("_at")
-    rows = sizing.join(hot, _same(keys, names), "inner").select(*names, at)
+    rows = sizing.join(hot, same(keys, names), "inner").select(*names, at)
     ranked = written(rows.orderBy(*names, "_at").withColumn("_id", F.monotonically_increasing_id()), "hot-rows")
     by_task = ranked.withColumn("_task", F.shiftrightunsigned("_id", 33))
     sizes = by_task.groupBy(*names, "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
@@ -99,7 +99,7 @@ def _cuts(sizing: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequenc
         "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
     )
-    matched = by_task.join(starts, _same([*names, "_task"], [f"_s{n}" for n in [*names, "_task"]]))
+    matched = by_task.join(starts, same([*names, "_task"], [f"_s{n}" for n in [*names, "_task"]]))
     place = F.col("_before") + F.col("_id") - F.col("_first")
     chosen = matched.where((place > 0) & (F.pmod(place, F.lit(limit)) == 0)).select(*names, "_at")
     per_key = chosen.groupBy(*names).agg(F.array_sort(F.collect_set("_at")).alias("_points"))  # rows / limit values
@@ -128,7 +128,7 @@ def _sliced(
         raise ValueError("row-order windows are batch only; use tidemark.streaming.processors on streams")
     sizing = (df if sizing is None else sizing).select(*dict.fromkeys([*keys, *order]))
     limit = max_rows_per_slice(df.sparkSession)
-    hot = _hot(sizing, keys, limit)
+    hot = hot_keys(sizing, keys, limit)
     if hot is None:
         return None
     cuts = written(_cuts(sizing, hot, keys, order, limit), "cuts")
@@ -137,7 +137,7 @@ def _sliced(
         cuts = F.broadcast(cuts)
     names = [f"_cut_{k}" for k in keys]
     rows, hot_rows = (
-        df.join(cuts, _same(keys, names), how).select(*df.columns, _slice_number(order).alias(_SLICE)) for how in ("left", "inner")
+        df.join(cuts, same(keys, names), how).select(*df.columns, _slice_number(order).alias(_SLICE)) for how in ("left", "inner")
     )
     return rows, hot_rows, [_SLICE]
 
