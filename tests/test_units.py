@@ -148,3 +148,102 @@ def test_text_sink_reads_tables_of_any_shape(spark, tmp_path, shape):
         shutil.copyfile(source, place / "part-0.parquet")
     for name in ("sink_text_files", "src_replay_clicks"):
         assert entry.queries()[name](spark, str(tmp_path)).count() == spark.read.parquet(str(source)).count()
+
+
+# --- NULLs, and work that grows with what is there ----------------------------------------------------
+
+
+def test_reconcile_tells_sides_of_rows_without_a_key(spark):
+    from datetime import datetime, timedelta
+
+    from tidemark.operators import joins
+
+    at = datetime(2024, 1, 1)
+    app = spark.createDataFrame([(None, at), ("k", at), ("t", None)], "a_key string, a_ts timestamp")
+    platform = spark.createDataFrame([(None, at), ("k", at + timedelta(seconds=1)), ("u", at)], "p_key string, p_ts timestamp")
+    found = joins.reconcile(app, platform, ("a_key", "p_key"), ("a_ts", "p_ts")).collect()
+    assert sorted((r.a_key, r.p_key, r.status) for r in found if r.status == "success") == [("k", "k", "success")]
+    missing = sorted((r.a_key or r.p_key or "", r.status) for r in found if r.status != "success")
+    assert missing == [("", "app_missing"), ("", "platform_missing"), ("t", "platform_missing"), ("u", "app_missing")]
+
+
+def test_periodic_counts_of_missing_times_and_keys(spark):
+    from datetime import timedelta
+
+    from tidemark.operators import timers
+    from tidemark.operators.ordered import MAX_ROWS_CONF
+
+    rows = [(1, 0), (1, 5), (1, 10), (1, 11), (1, None), (None, 3), (None, 30), (None, None), (2, None)]
+    df = spark.createDataFrame(rows, "k long, timestamp long")
+    want = [(1, 10, 3), (1, 21, 4), (None, 13, 1), (None, 40, 2)]
+    for limit in ("1000", "1"):  # walked; and by successors
+        spark.conf.set(MAX_ROWS_CONF, limit)
+        found = timers.periodic_count(df, "k", "timestamp", timedelta(milliseconds=10)).collect()
+        assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+    spark.conf.unset(MAX_ROWS_CONF)
+    assert timers.periodic_count(df.where("false"), "k").collect() == []
+
+
+def test_periodic_counts_of_one_key_with_all_rows(spark):
+    """One key's ticks by successors and doubling are those of a walk, over many rounds."""
+    import random
+    from datetime import timedelta
+
+    from tidemark.operators import timers
+    from tidemark.operators.ordered import MAX_ROWS_CONF
+
+    rng = random.Random(1)
+    df = spark.createDataFrame([(7, rng.randrange(4000)) for _ in range(1500)], "k long, timestamp long")
+    walked = sorted(map(tuple, timers.periodic_count(df, "k", "timestamp", timedelta(milliseconds=10)).collect()))
+    spark.conf.set(MAX_ROWS_CONF, "400")
+    doubled = sorted(map(tuple, timers.periodic_count(df, "k", "timestamp", timedelta(milliseconds=10)).collect()))
+    spark.conf.unset(MAX_ROWS_CONF)
+    assert doubled == walked and len(walked) > 200
+
+
+def test_cumulative_windows_make_one_row_a_step(spark):
+    """Steps of a window are made from their numbers: one row each, however many a window has."""
+    from datetime import datetime, timedelta
+
+    from tidemark.operators import windows
+
+    start = datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", start + timedelta(seconds=i * 7)) for i in range(2000)], "user string, ts timestamp")
+    found = windows.cumulate_count(df, "ts", timedelta(seconds=15), timedelta(hours=24)).collect()
+    assert len(found) == 24 * 240
+    for r in found[:: len(found) // 50]:
+        assert r.cnt == min(2000, -(-int((r.window_end - start).total_seconds()) // 7))
+
+
+def test_top_n_changelog_against_sorting(spark, tiny_slices):
+    import random
+
+    from tidemark.operators import changelog
+
+    rng = random.Random(4)
+    users = [rng.choice(["a", "b", "c", "d", None]) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(users)), "seq long, user string")
+    counts, reached, places, want = {}, {}, [], []
+    for seq, user in enumerate(users):
+        counts[user], reached[user] = counts.get(user, 0) + 1, seq
+        now = sorted(((n, u) for u, n in counts.items()), key=lambda x: (-x[0], reached[x[1]]))[:3]
+        for i, (n, u) in enumerate(now):
+            old = places[i] if i < len(places) else None
+            if old is None:
+                want.append((seq, i + 1, 0, "+I", u, n))
+            elif old != (n, u):
+                want += [(seq, i + 1, 0, "-U", old[1], old[0]), (seq, i + 1, 1, "+U", u, n)]
+        places = now
+    found = changelog.top_n_changelog(df, "user", "seq", 3).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+
+
+def test_union_watermark_waits_for_every_input(spark, tiny_slices):
+    from datetime import timedelta
+
+    from tidemark.operators import joins
+
+    left = spark.createDataFrame([(1, 100), (2, 90), (5, None), (6, 300)], "n long, ts long")
+    right = spark.createDataFrame([(3, 50), (4, 200)], "n long, ts long")
+    found = joins.union_watermark([left, right], ["n"], "ts", timedelta(milliseconds=10)).collect()
+    assert sorted((r.n, r.lane, r.watermark) for r in found) == [(1, 0, None), (2, 0, None), (3, 1, None), (4, 1, 40), (5, 0, 90), (6, 0, 90)]

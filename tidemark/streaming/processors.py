@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark import durations
 from tidemark.operators.changelog import INSERT, UPDATE_AFTER, UPDATE_BEFORE
+from tidemark.operators.ordered import Run
 from tidemark.operators.states import MAP_START
 
 
@@ -295,6 +296,118 @@ def periodic_count(df: DataFrame, key: str, period: timedelta = timedelta(second
     return _run(df, key, _PeriodicCount(_millis(period)), schema, "EventTime")
 
 
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+#: What a frame's values (NULLs left out) are reduced to; ``count`` is 0 without any, the others NULL.
+_OVER = {"count": len, "sum": sum, "max": max, "min": min, "avg": lambda values: sum(values) / len(values)}
+
+
+class _LastOf(InOrder):
+    def __init__(self, preceding: int, columns: list[tuple[str, str]], aggregates: list[tuple[str, int]]):
+        self.preceding, self.aggregates, self.columns = preceding, aggregates, tuple(columns)
+
+    def open(self, handle):
+        self.recent = handle.getListState("recent", ", ".join(f"{name} {kind}" for name, kind in self.columns))
+
+    def on_event(self, key, ts, seq, *values):
+        frame = [*(tuple(r) for r in self.recent.get()), values] if self.recent.exists() else [values]
+        if self.preceding:
+            self.recent.put(frame[-self.preceding :])
+        out = []
+        for kind, place in self.aggregates:
+            known = [row[place] for row in frame if row[place] is not None]
+            out.append(_OVER[kind](known) if known or kind == "count" else None)
+        return [self.row(*key, seq, *out)]
+
+
+def over_last(df: DataFrame, key: str, aggregates: dict[str, tuple[str, str]], preceding: int = 3) -> DataFrame:
+    """Aggregates of any columns over the current and the ``preceding`` rows of a key, in time order.
+
+    ``aggregates`` are ``name=(count | sum | max | min | avg, column)``. The ring of the last rows is typed by ``df``. Batch
+    twin: windows of ``operators.over`` over the same rows.
+    """
+    columns = list(dict.fromkeys(column for _, column in aggregates.values()))
+    types = {"count": lambda c: "bigint", "avg": lambda c: "double", "sum": lambda c: _sum_kind(_kind(df, c))}
+    fields = [(name, types.get(kind, lambda c: _kind(df, c))(column)) for name, (kind, column) in aggregates.items()]
+    held = [(f"v{i}", _kind(df, c)) for i, c in enumerate(columns)]
+    named = df.withColumns({f"v{i}": F.col(c) for i, c in enumerate(columns)})
+    processor = _LastOf(preceding, held, [(kind, columns.index(column)) for kind, column in aggregates.values()])
+    return _run(named, key, processor, _schema(df, key, ("seq", "long"), *fields), "EventTime")
+
+
+def _sum_kind(kind: str) -> str:
+    return "bigint" if kind in ("tinyint", "smallint", "int", "bigint") else "double" if kind in ("float", "double") else kind
+
+
+class _Reduce(Arrivals):
+    def __init__(self, kinds: list[str], fields: str):
+        self.kinds, self.fields = kinds, fields
+
+    def init(self, handle):
+        self.state = handle.getValueState("reduced", self.fields)
+
+    def on_row(self, key, row, times):
+        state = tuple(self.state.get()) if self.state.exists() else None
+        out = []
+        for i, kind in enumerate(self.kinds):
+            new, old = row[f"v{i}"], None if state is None else state[i]
+            if kind == "count":
+                out.append((old or 0) + 1)
+            elif kind == "last" or (kind == "first" and state is None):
+                out.append(new)
+            elif kind == "first" or new is None:
+                out.append(old)
+            elif old is None:
+                out.append(new)
+            else:
+                out.append(old + new if kind == "sum" else max(old, new) if kind == "max" else min(old, new))
+        self.state.update(tuple(out))
+        return [self.row(*key, row.seq, *out)]
+
+
+def running_reduce(df: DataFrame, key: str, values: dict[str, Run]) -> DataFrame:
+    """After each row, its key's rows so far reduced by an associative function per output column.
+
+    ``values`` name them as :class:`Run`, as for ``operators.keyed.running_reduce``; the state is typed by their columns.
+    """
+    columns = {f"v{i}": F.lit(1).cast("long") if run.kind == "count" else run.value for i, run in enumerate(values.values())}
+    lifted = df.select("*", *[c.alias(n) for n, c in columns.items()])
+    kinds = [_kind(lifted, name) for name in columns]
+    kinds = [_sum_kind(kind) if run.kind == "sum" else kind for run, kind in zip(values.values(), kinds, strict=True)]
+    if any(not run.inclusive for run in values.values()):
+        raise ValueError("a stream reduces the current row too")
+    fields = ", ".join(f"s{i} {kind}" for i, kind in enumerate(kinds))
+    schema = _schema(df, key, ("seq", "long"), *zip(values, kinds, strict=True))
+    return _run(lifted, key, _Reduce([run.kind for run in values.values()], fields), schema, "None")
+
+
+class _GapCount(InOrder):
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def open(self, handle):
+        self.count = handle.getValueState("count", "last bigint, n bigint")
+
+    def on_event(self, key, ts, seq):
+        last, n = self.count.get() if self.count.exists() else (None, 0)
+        n = 1 if last is not None and ts >= last + self.ttl_ms else n + 1
+        self.count.update((ts, n))
+        self.handle.registerTimer(ts + self.ttl_ms)
+        return [self.row(*key, seq, n)]
+
+    def on_time(self, key, now):
+        if self.count.exists() and self.count.get()[0] + self.ttl_ms <= now:
+            self.count.clear()
+        return ()
+
+
+def expiring_count_by_event_time(df: DataFrame, key: str, ttl: timedelta = timedelta(hours=1)) -> DataFrame:
+    """Running count whose state is gone ``ttl`` of event time after its last write; batch twin ``states.expiring_count``."""
+    return _run(df, key, _GapCount(_millis(ttl)), _schema(df, key, ("seq", "long"), ("cnt", "long")), "EventTime")
+
+
 class _LastRows(InOrder):
     def __init__(self, preceding: int):
         self.preceding = preceding
@@ -344,6 +457,43 @@ def consecutive(df: DataFrame, key: str, condition, times: int = 3) -> DataFrame
     return _run(marked, key, _Consecutive(times), schema, "EventTime")
 
 
+class _Steps(InOrder):
+    def __init__(self, times: int, within_ms: int | None):
+        self.times, self.within_ms = times, within_ms
+        self.columns = tuple((f"met_{i}", "boolean") for i in range(times))
+
+    def open(self, handle):
+        self.partial = handle.getListState("partial", ", ".join(f"ts_{i} bigint" for i in range(1, self.times)))
+
+    def on_event(self, key, ts, seq, *met):
+        partial = [[t for t in row if t is not None] for row in self.partial.get()] if self.partial.exists() else []
+        going, found = [], []
+        for begun in [*partial, []]:
+            in_time = not begun or self.within_ms is None or ts - begun[0] < self.within_ms
+            if met[len(begun)] and in_time:
+                whole = [*begun, ts]
+                (found if len(whole) == self.times else going).append(whole)
+        if going:
+            self.partial.put([(*begun, *[None] * (self.times - 1 - len(begun))) for begun in going])
+        elif partial:
+            self.partial.clear()
+        return [self.row(*key, *whole) for whole in found]
+
+
+def steps(df: DataFrame, key: str, conditions, within: timedelta | None = None) -> DataFrame:
+    """Directly consecutive rows that meet ``conditions`` one after another, the last strictly within the limit.
+
+    The state is an automaton's: at most one partial match for each number of steps done, as every row either carries a
+    match on or ends it. At least two conditions. Batch twin ``operators.patterns.steps``.
+    """
+    if len(conditions) < 2:
+        raise ValueError("a pattern needs at least two steps")
+    marked = df.withColumns({f"met_{i}": F.coalesce(c, F.lit(False)) for i, c in enumerate(conditions)})
+    times = len(conditions)
+    schema = _schema(df, key, *[(f"ts_{i}", "long") for i in range(1, times + 1)])
+    return _run(marked, key, _Steps(times, None if within is None else _millis(within)), schema, "EventTime")
+
+
 class _FollowedBy(InOrder):
     columns = (("step", "int"),)
 
