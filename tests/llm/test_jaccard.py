@@ -89,3 +89,14 @@ def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(200, 100 + i) for i in range(1, 30)] + [(5, 5), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 101 for i in [*range(101, 130), 200]}
+
+
+def test_a_unique_text_of_a_repeated_id_stays(spark):
+    t, u = (" ".join(f"{c}{i}" for i in range(60)) for c in "tu")
+    kept = lambda rows: sorted((r.doc_id, r.text) for r in J.deduplicated(documents(spark, rows)).collect())
+    assert kept([(1, t), (1, u)]) == [(1, t), (1, u)]
+    assert kept([(0, t + " x"), (5, t), (5, u)]) == [(0, t + " x"), (5, u)]
+    again = kept([(3, t), (3, t), (3, t + " x"), (2, u), (2, u)])
+    assert again in ([(2, u), (3, t)], [(2, u), (3, t + " x")])
+    odd = J.deduplicated(documents(spark, [(None, t), (None, t), (1, t), (1, None), (1, ""), (2, None)])).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in odd) == [(False, 1), (False, 1), (False, 1), (False, 2), (True, 0), (True, 0)]

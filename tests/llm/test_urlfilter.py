@@ -49,3 +49,17 @@ def test_empty_sides_and_clashing_names(spark):
     some = U.intervals(documents(spark, [("a.com", "x", "add", 1)], EVENT))
     assert U.judged(documents(spark, [], CAPTURE), some).collect() == []
     assert U.judged(clash, some).first().category == "x"
+
+
+def test_paths_tell_cases_apart_and_hosts_do_not(spark):
+    listed = U.intervals(documents(spark, [("A.com/Foo", "x", "add", 1)], EVENT))
+    captures = [(1, "http://a.com/Foo", 5), (2, "http://A.COM/Foo/b", 5), (3, "http://a.com/foo", 5)]
+    assert {r.id: r.entry for r in U.judged(documents(spark, captures, CAPTURE), listed).collect()} == {1: "a.com/Foo", 2: "a.com/Foo", 3: None}
+
+
+def test_columns_named_like_ours_and_times_far_off(spark):
+    listed = U.intervals(documents(spark, [("a.com", "x", "add", 1), ("b.com", "y", "add", 9 * 10**9)], EVENT))
+    rows = [(i, "http://a.com/", 1000 + i, "e", "c", "s", "u", "k") for i in range(20)]
+    rows += [(20, "http://a.com/", 253_000_000_000, "e", "c", "s", "u", "k"), (21, "http://b.com/", 253_000_000_000, None, None, None, None, None), (22, "http://b.com/", -(10**12), "", "", "", "", "")]
+    found = U.judged(documents(spark, rows, CAPTURE + ", e string, c string, s string, u string, k string"), listed, slot=10)
+    assert {r.id: r.entry for r in found.collect()} == {**dict.fromkeys(range(21), "a.com"), 21: "b.com", 22: None}

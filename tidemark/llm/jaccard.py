@@ -274,9 +274,23 @@ def joined(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int =
 
 
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = SHINGLE_WORDS) -> DataFrame:
-    """One row of each component, of its smallest id (of rows of one id, that of the smallest text); null ids all stay."""
-    gone = joined(docs, text, doc_id, k).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col(f"`{doc_id}`") == F.col("__gone"), "left_anti")
-    again = Window.partitionBy(f"`{doc_id}`").orderBy(F.col(f"`{text}`"))
-    numbered = kept.withColumn("__n", F.row_number().over(again))
-    return numbered.where((F.col("__n") == 1) | F.col(f"`{doc_id}`").isNull()).drop("__n")
+    """One row of each component, of its smallest id; null ids link nothing and all stay.
+
+    Rows of one id with different texts are documents of their own (known by a 64-bit hash of id and text), each dropped
+    only where its own text is linked to one that stays; of rows with equal id and text one stays.
+    """
+    name = F.col(f"`{doc_id}`").cast("long")
+    known = docs.where(name.isNotNull())
+    repeats = stored(known.groupBy(name.alias("__again")).count().where("count > 1").select("__again"), "repeated-ids")
+    if repeats.isEmpty():
+        gone = joined(docs, text, doc_id, k).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+        return docs.join(gone, name == F.col("__gone"), "left_anti")
+    own = F.xxhash64("__again", f"`{text}`")
+    node = F.when(F.col("__again").isNull(), name).otherwise(F.when(own > 0, -own).otherwise(own))
+    marked = known.join(repeats, name == F.col("__again"), "left").withColumn("__node", node)
+    _, edges = links(marked.select(F.col("__node").alias("doc_id"), F.col(f"`{text}`").alias("text")), k)
+    placed = marked.select("__node", name.alias("__name")).join(components(edges), F.col("__node") == F.col("node"), "left")
+    best = placed.groupBy(F.coalesce("component", "__node")).agg(F.min(F.struct("__name", "__node")).alias("__best"))
+    kept = marked.join(best.select(F.col("__best.__node").alias("__keep")), F.col("__node") == F.col("__keep"), "left_semi")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.dropDuplicates(["__node"]).select(*columns).unionAll(docs.where(name.isNull()))
