@@ -116,6 +116,24 @@ def part_rescale(spark, sf):
     return partitioning.rescale(table(spark, sf, "events").select("event_id", "user_id"), 4)
 
 
+@query(
+    "part_even_placement",
+    """SELECT s.strategy, 16::BIGINT AS partitions, count(*) AS placed, true AS even
+       FROM events, (VALUES ('shuffle'), ('rebalance')) s(strategy) GROUP BY s.strategy""",
+)
+def part_even_placement(spark, sf):
+    """Partitions that have rows after either way of dealing them, and whether none has more than its share and one a task."""
+    events = table(spark, sf, "events").select("event_id")
+    tasks = events.rdd.getNumPartitions()
+    dealt = {"shuffle": partitioning.shuffle(events, 16), "rebalance": partitioning.rebalance(events, 16)}
+    sizes = [partitioning.with_partition(df).groupBy("partition").count().withColumn("strategy", F.lit(s)) for s, df in dealt.items()]
+    shape = sizes[0].unionByName(sizes[1]).groupBy("strategy").agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("count").alias("placed"), F.max("count").alias("_most")
+    )
+    share = F.ceil(F.col("placed") / 16)
+    return shape.select("strategy", "partitions", "placed", (F.col("_most") <= share + tasks).alias("even"))
+
+
 @query("part_broadcast_copies", "SELECT n_nationkey, CAST(unnest([0, 1, 2, 3]) AS INTEGER) AS subtask FROM nation")
 def part_broadcast_copies(spark, sf):
     copies = partitioning.broadcast_copies(table(spark, sf, "nation").select("n_nationkey"), 4)
