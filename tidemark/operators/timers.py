@@ -35,9 +35,12 @@ def periodic_count(df: DataFrame, key: str, ts: str = "timestamp", period: timed
     them are anchors follows by doubling (:func:`_doubled`), so no task holds the key.
     """
     timed = df.where(F.col(ts).isNotNull())
-    ticks = written(timed.groupBy(key, F.col(ts).alias("tick")).agg(F.count(F.lit(1)).alias("n")), "ticks")
-    width = durations.micros(period) // 1000
-    hot = hot_keys(ticks, [key], max_rows_per_slice(df.sparkSession))
+    ticks = timed.groupBy(key, F.col(ts).alias("tick")).agg(F.count(F.lit(1)).alias("n"))
+    width, limit = durations.micros(period) // 1000, max_rows_per_slice(df.sparkSession)
+    if hot_keys(timed.select(key), [key], limit) is None:  # no more ticks than rows
+        return _walked(ticks, key, width)
+    ticks = written(ticks, "ticks")
+    hot = hot_keys(ticks, [key], limit)
     if hot is None:
         return _walked(ticks, key, width)
     known = same([key], [f"_cut_{key}"])
