@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemark.llm.tables import small_batches, stored
-from tidemark.llm.tokens import Encoder, Ids
-from tidemark.llm.words import slices, text_bytes
+from tidemark.llm.tokens import _WHITE, Encoder
+from tidemark.llm.words import BYTE_VALUE, run_hashes, slices, text_bytes
 
 #: How a link ends: both tokens end (and so a group does), the first one's alone, the second one's alone.
 BOTH, FIRST, SECOND = 0, 1, 2
@@ -96,27 +96,44 @@ class Vocabulary:
         return b"".join(map(self.pieces.__getitem__, ids.tolist()))
 
 
-#: Distinct pieces of text that a worker remembers the first tokens of.
-CACHE_PIECES = 200_000
+#: Distinct pieces of text that a worker remembers the tokens of, and bytes of new ones that are encoded as one text.
+CACHE_PIECES = 500_000
+CHUNK_BYTES = 1 << 13
+#: What stands in front of the pieces of a chunk, so that none of them is at the beginning.
+_LEAD = b" a"
 
 
-class _Remembering(Encoder):
-    """An encoder that remembers less, as another tokenizer shares its worker, and nothing between tasks."""
+_ENDS_WHITE = frozenset(np.flatnonzero(_WHITE).tolist())
 
-    def encode(self, texts: pa.Array) -> Ids:
-        if len(self._slots) > CACHE_PIECES:
-            self._forget()
-        return super().encode(texts)
 
-    def forget(self) -> None:
-        self._forget()
+def _among(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+class _ByteLevel(Encoder):
+    """The first tokenizer: its ids of whole texts, and whether texts may be cut in front of blanks."""
+
+    @property
+    def in_pieces(self) -> bool:
+        return self._cut
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return self._library(texts)
 
 
 class Pair:
-    """Both tokenizers of a worker: byte-level ids of a blank and the text, and pieces of the text, which begin with a blank."""
+    """Both tokenizers of a worker: byte-level ids of a blank and the text, and pieces of the text, which begin with a blank.
+
+    Neither joins what stands before a blank with the blank, unless white space stands before it: the first by its rule,
+    the second if no piece of its vocabulary has a blank behind something else. So texts are cut in front of such blanks and
+    every distinct piece is encoded once, many in one text, whose tokens are dealt to the pieces by their bytes. Pieces
+    whose tokens have other bytes are known as such, and texts with one go to the libraries whole.
+    """
 
     def __init__(self, byte_level: str, pieces: str) -> None:
-        self._first = _Remembering(byte_level, special_as_text=True)
+        self._first = _ByteLevel(byte_level, special_as_text=True)
         tokenizer, values = Tokenizer.from_file(byte_level), _byte_level()
         names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
         added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
@@ -124,29 +141,120 @@ class Pair:
         self._second = sentencepiece.SentencePieceProcessor(model_file=pieces)
         named = [(i, self._second.id_to_piece(i)) for i in range(self._second.get_piece_size())]
         self.b = Vocabulary.of([bytes([int(p[3:5], 16)]) if self._second.is_byte(i) else p.replace("▁", " ").encode() for i, p in named])
+        plain = self._second.normalize(" a  b ") == "▁▁a▁▁b▁"
+        self._cut = self._first.in_pieces and plain and not any("▁" in p.lstrip("▁") for _, p in named)
+        self.forget()
 
     def forget(self) -> None:
-        self._first.forget()
+        self._keys, self._slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, and the pieces' numbers
+        self._good = np.zeros(0, bool)
+        self._ids = [np.zeros(0, np.int32) for _ in "ab"]
+        self._at = [np.zeros(1, np.int64) for _ in "ab"]
+
+    def _both(self, texts: list[str]) -> list[list[np.ndarray]]:
+        """Ids of whole texts that begin with a blank, which the second tokenizer adds itself."""
+        second = self._second.encode([t[1:] for t in texts], num_threads=1)
+        return [[x.astype(np.int32) for x in self._first.whole(texts)], [np.array(x, np.int32) for x in second]]
+
+    def _learn(self, groups: list[list[tuple[int, bytes]]]) -> None:
+        """Remember the tokens of pieces (hash, bytes), those of a group encoded as one text."""
+        again = []
+        chunks = [b"".join([_LEAD, *(p for _, p in group)]) for group in groups]
+        kept: list[list[np.ndarray]] = [[], []]
+        counts: list[list[np.ndarray]] = [[], []]
+        good, hashes = [], []
+        for group, chunk, *both in zip(groups, chunks, *self._both([c.decode() for c in chunks]), strict=True):
+            ends = np.cumsum([len(_LEAD), *(len(p) for _, p in group)])
+            cuts = []
+            for vocabulary, ids in zip((self.a, self.b), both, strict=True):
+                at = np.cumsum(vocabulary.lengths[ids])
+                place = np.minimum(np.searchsorted(at, ends), max(len(at) - 1, 0))
+                right = len(at) > 0 and bool((at[place] == ends).all()) and vocabulary.joined(ids) == chunk
+                cuts.append(place + 1 if right else None)
+            whole = all(c is not None for c in cuts)
+            if not whole and len(group) > 1:
+                again += [[one] for one in group]
+                continue
+            for k, (ids, cut) in enumerate(zip(both, cuts, strict=True)):
+                cut = cut if whole else np.zeros(len(group) + 1, np.int64)
+                kept[k].append(ids[cut[0] : cut[-1]])
+                counts[k].append(np.diff(cut))
+            good += [whole] * len(group)
+            hashes += [h for h, _ in group]
+        fresh = np.array(hashes, np.uint64)
+        order = np.argsort(fresh)
+        place = np.searchsorted(self._keys, fresh[order])
+        self._keys, self._slots = np.insert(self._keys, place, fresh[order]), np.insert(self._slots, place, order + len(self._good))
+        self._good = np.concatenate((self._good, np.array(good, bool)))
+        for k in range(2):
+            self._ids[k] = np.concatenate((self._ids[k], *kept[k]))
+            self._at[k] = np.concatenate((self._at[k], self._at[k][-1] + np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts[k]]))))
+        if again:
+            self._learn(again)
+
+    def _met(self, data: np.ndarray, bounds: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """Ids and offsets of both for texts that begin with a blank, and which of them have only pieces of the right bytes."""
+        starts = data == 0x20
+        starts[1:] &= ~_WHITE[data[:-1]]
+        starts[bounds[:-1][bounds[:-1] < len(data)]] = True
+        first = np.flatnonzero(starts)
+        last = np.append(first[1:], len(data)) - 1
+        distinct, example, inverse = np.unique(run_hashes(data, first, last, BYTE_VALUE), return_index=True, return_inverse=True)
+        if len(self._keys) > CACHE_PIECES:
+            self.forget()
+        new = np.flatnonzero(~_among(self._keys, distinct))
+        groups: list[list[tuple[int, bytes]]] = [[]]
+        size = 0
+        whole = data.tobytes()
+        for h, a, b in zip(distinct[new].tolist(), first[example[new]].tolist(), last[example[new]].tolist(), strict=True):
+            one = h, whole[a : b + 1]
+            if one[1][-1] in _ENDS_WHITE:  # the next piece's blank would follow white space
+                groups.insert(0, [one])
+                continue
+            groups[-1].append(one)
+            size += len(one[1])
+            if size >= CHUNK_BYTES:
+                groups.append([])
+                size = 0
+        if len(new):
+            self._learn([g for g in groups if g])
+        slot = self._slots[np.searchsorted(self._keys, distinct)][inverse]
+        before = np.searchsorted(first, bounds)  # pieces before each text
+        out = []
+        for ids, at in zip(self._ids, self._at, strict=True):
+            lengths = at[slot + 1] - at[slot]
+            ends = np.cumsum(lengths)
+            out.append((ids[np.repeat(at[slot] - (ends - lengths), lengths) + np.arange(ends[-1])].astype(np.int64), np.concatenate(([0], ends))[before]))
+        wrong = np.concatenate(([0], np.cumsum(~self._good[slot])))
+        return out, np.diff(wrong[before]) == 0
+
+    def _whole(self, texts: list[str]) -> list[list[np.ndarray]]:
+        """Ids by whole texts; none where the tokens' bytes are not the text."""
+        both = self._both(texts)
+        nothing = np.zeros(0, np.int32)
+        right = [all(v.joined(ids) == t.encode() for v, ids in zip((self.a, self.b), pair, strict=True)) for t, *pair in zip(texts, *both, strict=True)]
+        return [[x if ok else nothing for x, ok in zip(side, right, strict=True)] for side in both]
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids and offsets of both; texts without tokens, or whose tokens' bytes are not a blank and the text, have none."""
         spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts.cast(pa.large_string()), pa.scalar("", pa.large_string()))
-        first = self._first.encode(spaced)
-        seconds = self._second.encode([t or "" for t in texts.to_pylist()], num_threads=1)
-        bounds = np.concatenate(([0], np.cumsum([len(s) for s in seconds]))).astype(np.int64)
-        second = np.array([i for s in seconds for i in s], np.int64)
         sizes = pc.fill_null(pc.binary_length(spaced), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        data = text_bytes(spaced)
-        kept = sizes > 1
-        for vocabulary, ids, offsets in ((self.a, first.ids, first.offsets), (self.b, second, bounds)):
-            total = np.concatenate(([0], np.cumsum(vocabulary.lengths[ids])))
-            kept &= total[offsets[1:]] - total[offsets[:-1]] == sizes
-        for i in np.flatnonzero(kept):
-            want = data[ends[i] : ends[i + 1]].tobytes()
-            a, b = first.ids[first.offsets[i] : first.offsets[i + 1]], second[bounds[i] : bounds[i + 1]]
-            kept[i] = self.a.joined(a) == want and self.b.joined(b) == want
-        return *_chosen(first.ids.astype(np.int64), first.offsets, kept), *_chosen(second, bounds, kept)
+        some = sizes > 1
+        nothing = np.zeros(0, np.int64), np.zeros(len(sizes) + 1, np.int64)
+        sides, right = [nothing, nothing], ~some
+        if self._cut and some.any():
+            sides, good = self._met(text_bytes(spaced), np.concatenate(([0], np.cumsum(sizes))))
+            right |= good
+            sides = [_chosen(*side, some & good) for side in sides]
+        at = np.flatnonzero(~right)
+        if len(at):
+            for k, parts in enumerate(self._whole(spaced.take(pa.array(at)).to_pylist())):
+                ids, offsets = sides[k]
+                each = [ids[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+                for i, part in zip(at.tolist(), parts, strict=True):
+                    each[i] = part
+                sides[k] = np.concatenate(each).astype(np.int64), np.concatenate(([0], np.cumsum([len(e) for e in each])))
+        return *sides[0], *sides[1]
 
 
 def _chosen(ids: np.ndarray, offsets: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
