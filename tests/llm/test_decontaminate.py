@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import hashlib
 
+import time
+
 import numpy as np
 import pytest
 from helpers import alphanumeric, documents
 
 from tidemark.llm import decontaminate as D
+from tidemark.llm.automaton import SuffixAutomaton
 
 ITEM = "item_id long, text string"
 
@@ -75,3 +78,29 @@ def test_without_items_or_documents(spark):
     row = D.judged(D.matches(clash, none)).first()
     assert (row.n_words, row.n_hit, row.n_items, row.contaminated, row.items_sha256) == (2, 0, 0, False, hashlib.sha256(b"").hexdigest())
     assert D.matches(documents(spark, []), none).collect() == []
+
+
+def test_long_repeats_cost_time_in_proportion():
+    words = [0] * 100_000
+    began = time.process_time()
+    automaton = SuffixAutomaton(13)
+    automaton.add(words)
+    automaton.name("x", words)
+    assert automaton.found(words) == ([(0, len(words))], {"x"})
+    assert automaton.found(words[:12]) == ([], set())
+    assert time.process_time() - began < 5
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 2_000])
+def test_repeated_words_and_very_long_texts(spark, shard_bytes):
+    items = [("a", "x " * 900), ("b", "x " * 12 + "y"), ("c", "x x x"), ("d", "x y " * 40), ("e", "z " * 30 + "x " * 30)]
+    texts = ["x " * 12, "x " * 13 + "y", "q " * 20_000 + "x " * 20_000 + "y", "y x " * 3_000, "z x", "", None, "x x x y x x x y", "z " * 14 + "q"]
+    found = D.judged(D.matches(documents(spark, list(enumerate(texts))), documents(spark, items, "item_id string, text string"), shard_bytes=shard_bytes))
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found.collect())
+    assert got == [(i, *_brute(t, items)) for i, t in enumerate(texts)]
+
+
+def test_the_driver_reads_addresses_only(spark):
+    items = documents(spark, [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(30)], ITEM)
+    addresses = D._shards(items, "item_id", "text", 13, 1_000)
+    assert addresses.columns == ["address"] and addresses.count() > 5

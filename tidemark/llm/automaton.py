@@ -56,22 +56,20 @@ class SuffixAutomaton:
         """Note which windows are the item's; only after all items have been added, as states still split before."""
         if len(words) < self.window:
             *_, (_, state, _) = self.walk(words)
-            self.short.setdefault(self.suffix(state, len(words)), {}).setdefault(len(words), set()).add(item)
+            self.short.setdefault(state, {}).setdefault(len(words), set()).add(item)
             return
         for _, state, matched in self.walk(words):
-            if matched >= self.window:
-                self.owners.setdefault(self.suffix(state, self.window), set()).add(item)
-
-    def suffix(self, state: int, length: int) -> int:
-        """The state of the last ``length`` words of what led to ``state``."""
-        while self.length[self.link[state]] >= length:
-            state = self.link[state]
-        return state
+            if matched == self.window:
+                self.owners.setdefault(state, set()).add(item)
 
     def walk(self, words: Iterable[int]) -> Iterator[tuple[int, int, int]]:
-        """Position, state and longest matched length after each word."""
+        """Position, state and longest matched length after each word, up to the window.
+
+        A match is cut to its last ``window`` words at once. It was one word longer than that at most, so they belong to its
+        state or to the next on the chain, and a word costs the same however long items and matches are.
+        """
         state, matched = 0, 0
-        arcs, link, length = self.next, self.link, self.length
+        arcs, link, length, window = self.next, self.link, self.length, self.window
         for i, word in enumerate(words):
             while state and word not in arcs[state]:
                 state = link[state]
@@ -79,6 +77,10 @@ class SuffixAutomaton:
             if word in arcs[state]:
                 state = arcs[state][word]
                 matched += 1
+                if matched > window:
+                    matched = window
+                    if length[link[state]] >= window:
+                        state = link[state]
             yield i, state, matched
 
     def found(self, words: list[int]) -> tuple[list[tuple[int, int]], set[str]]:
@@ -88,12 +90,11 @@ class SuffixAutomaton:
         seen: set[int] = set()
         for i, state, matched in self.walk(words):
             longest = 0
-            if matched >= self.window:
-                longest = self.window
-                at = self.suffix(state, self.window)
-                if at not in seen:
-                    seen.add(at)
-                    items |= self.owners[at]
+            if matched == self.window:
+                longest = matched
+                if state not in seen:
+                    seen.add(state)
+                    items |= self.owners[state]
             if self.short:
                 at = state
                 while at > 0:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,12 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm import files
 from tidemark.llm.automaton import SuffixAutomaton
+from tidemark.llm.tables import stored
 from tidemark.llm.words import ALPHANUMERIC, Words, hashed_words, shingles, slices
 
 WINDOW = 13
 #: Text bytes of benchmark items that one automaton takes; a larger benchmark becomes several, applied in turn.
 SHARD_BYTES = 1 << 20
+#: Text bytes of documents that a task holds while it goes through several automata.
+HELD_BYTES = 1 << 25
 _GRAM = 4
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 _ARROW_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -86,25 +91,45 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(batch: pa.RecordBatch, column: str, shard: _Shard, names: tuple[str, str, str]) -> pa.RecordBatch:
-    n_words, spans, items = names
-    words = hashed_words(batch.column(column), ALPHANUMERIC)
-    first = n_words not in batch.schema.names
-    got = [[] for _ in range(batch.num_rows)] if first else batch.column(spans).to_pylist()
-    owners: list[set[str]] = [set(x or ()) for x in ([()] * batch.num_rows if first else batch.column(items).to_pylist())]
-    hits: list[list[tuple[int, int]]] = [[(s["start"], s["end"]) for s in x] for x in got]
-    for i, start, end in _stretches(words, shard):
-        numbers = np.searchsorted(shard.vocabulary, words.hashes[words.offsets[i] + start : words.offsets[i] + end])
-        found, who = shard.automaton.found(numbers.tolist())
-        hits[i] += [(start + a, start + b) for a, b in found]
-        owners[i] |= who
-    keep = batch if first else batch.drop_columns(list(names))
-    columns = [
-        pa.array(words.counts, pa.int64()),
-        pa.array([[{"start": a, "end": b} for a, b in _merged(x)] for x in hits], _ARROW_SPAN),
-        pa.array([sorted(x) for x in owners], pa.list_(pa.string())),
-    ]
-    return pa.RecordBatch.from_arrays([*keep.columns, *columns], [*keep.schema.names, *names])
+@dataclass
+class _Found:
+    """What is known so far of the texts of a batch: numbers of words, hit spans, owners."""
+
+    words: Words
+    spans: list[list[tuple[int, int]]]
+    items: list[set[str]]
+
+    @classmethod
+    def of(cls, texts: pa.Array) -> _Found:
+        words = hashed_words(texts, ALPHANUMERIC)
+        return cls(words, [[] for _ in range(len(texts))], [set() for _ in range(len(texts))])
+
+    def scan(self, shard: _Shard) -> None:
+        words = self.words
+        for i, start, end in _stretches(words, shard):
+            numbers = np.searchsorted(shard.vocabulary, words.hashes[words.offsets[i] + start : words.offsets[i] + end])
+            found, who = shard.automaton.found(numbers.tolist())
+            self.spans[i] += [(start + a, start + b) for a, b in found]
+            self.items[i] |= who
+
+    def columns(self) -> list[pa.Array]:
+        return [
+            pa.array(self.words.counts, pa.int64()),
+            pa.array([[{"start": a, "end": b} for a, b in _merged(x)] for x in self.spans], _ARROW_SPAN),
+            pa.array([sorted(x) for x in self.items], pa.list_(pa.string())),
+        ]
+
+
+#: The automaton that a worker read last, by its address.
+_READ: dict[str, _Shard] = {}
+
+
+def _read(address: str) -> _Shard:
+    if address not in _READ:
+        _READ.clear()
+        with files.opened(address) as out:
+            _READ[address] = pickle.loads(out.read())
+    return _READ[address]
 
 
 def matches(
@@ -117,47 +142,75 @@ def matches(
     consecutive words of an item; an item of fewer words, but not none, is one window. ``spans`` are disjoint
     ``[start, end)`` word numbers in order; ``items`` are distinct ids as strings, sorted.
 
-    Every automaton holds ``shard_bytes`` of item texts at most (one item at least) and is shipped by itself; documents
-    are scanned where they lie, without a shuffle. Null texts have no words; an item without an id goes by ''; repeated
-    items count once; without items nothing matches. Columns of ``docs`` that have one of ``names`` are replaced.
+    Tasks build the automata, each of ``shard_bytes`` of item texts (one item at least), and write them to the shared
+    folder; the driver holds their addresses. Documents are scanned where they lie, without a shuffle; a task holds one
+    automaton and some documents at a time. Null texts have no words; an item without an id goes by ''; repeated items
+    count once; without items nothing matches. Long items and documents, also of one word repeated, cost time in
+    proportion to their words. Columns of ``docs`` that have one of ``names`` are replaced.
     """
     docs = docs.drop(*names)
     schema = T.StructType(
         [*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, (T.LongType(), _SPAN, T.ArrayType(T.StringType())), strict=True))]
     )
-    out = docs
-    for shard in _shards(items, item, item_text, window, shard_bytes):
-        shipped = docs.sparkSession.sparkContext.broadcast(shard)
-
-        def scan(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch, text):
-                    yield _scan(part, text, shipped.value, names)
-
-        out = out.mapInArrow(scan, schema)
-    return out
+    addresses = [r.address for r in _shards(items, item, item_text, window, shard_bytes).collect()]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _blocks((part for batch in batches for part in slices(batch, text)), text, HELD_BYTES if len(addresses) > 1 else 0):
+            found = [_Found.of(part.column(text)) for part in held]
+            for address in addresses:
+                shard = _read(address)
+                for one in found:
+                    one.scan(shard)
+            for part, one in zip(held, found, strict=True):
+                yield pa.RecordBatch.from_arrays([*part.columns, *one.columns()], schema.names)
+
+    return docs.mapInArrow(scan, schema)
+
+
+def _blocks(parts: Iterator[pa.RecordBatch], text: str, least_bytes: int) -> Iterator[list[pa.RecordBatch]]:
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += part.column(text).nbytes
+        if size >= least_bytes:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
-def _shards(items: DataFrame, item: str, item_text: str, window: int, shard_bytes: int) -> Iterator[_Shard]:
-    """Automata one after another; the driver holds the items of one at a time."""
+def _shards(items: DataFrame, item: str, item_text: str, window: int, shard_bytes: int) -> DataFrame:
+    """``address`` of each automaton in the shared folder. Items are dealt to as many tasks as there are automata by bytes."""
     rows = items.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("i"), F.col(item_text).alias("t"))
-    held: list[tuple[str, str]] = []
-    size, made = 0, False
-    for row in rows.where("t IS NOT NULL").toLocalIterator():
-        if held and size + len(row.t) > shard_bytes:
-            if shard := _shard(held, window):
-                made = True
-                yield shard
-            held, size = [], 0
-        held.append((row.i, row.t))
-        size += len(row.t)
-    if held and (shard := _shard(held, window)):
-        made = True
-        yield shard
-    if not made:  # a word that cannot occur, so that the columns are there
-        nothing = SuffixAutomaton(window)
-        none = np.zeros(1, np.uint64)
-        yield _Shard(nothing, none, 1, none, window)
+    distinct = stored(rows.where("t IS NOT NULL").distinct(), "benchmark-items")
+    size = distinct.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    folder = files.folder(items.sparkSession, "automata")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, str]] = []
+        total = 0
+
+        def written() -> pa.RecordBatch:
+            shard = _shard(held, window)
+            address, out = files.created(folder, ".automaton") if shard else (None, None)
+            if shard:
+                with out:
+                    out.write(pickle.dumps(shard, pickle.HIGHEST_PROTOCOL))
+            return pa.RecordBatch.from_arrays([pa.array([address] if shard else [], pa.string())], ["address"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = len(row["t"].encode())
+                if held and total + n > shard_bytes:
+                    yield written()
+                    held, total = [], 0
+                held.append((row["i"], row["t"]))
+                total += n
+        if held:
+            yield written()
+
+    return stored(distinct.repartition(1 + size // shard_bytes).mapInArrow(task, "address string"), "automata-addresses")
 
 
 def _hit(spans: str) -> F.Column:
