@@ -30,21 +30,49 @@ def test_pages_come_back_as_captures(spark):
     assert {r.response.uri for r in whole} == {"http://a/%20b%0A", "http://b/", None, "u", "v", "w", "x"}
 
 
+def _record(kind, name, *named):
+    lines = "".join(f"WARC-Concurrent-To: <{n}>\r\n" for n in named)
+    return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n{lines}Content-Length: 2\r\n\r\nhi\r\n\r\n".encode()
+
+
+def _captured(spark, path, *records):
+    path.write_bytes(b"".join(_record(*r) for r in records))
+    archives = spark.createDataFrame([(path.as_uri(),)], "address string")
+    return {r.capture_id: (r.response and r.response.type, r.requests, r.metadata_records) for r in warc.captures(warc.read(archives)).collect()}
+
+
 def test_companions_by_either_pointer_and_orphans(spark, tmp_path):
-    def record(kind, name, *fields):
-        lines = "".join(f"{f}\r\n" for f in fields)
-        return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n{lines}Content-Length: 2\r\n\r\nhi\r\n\r\n".encode()
-
-    path = tmp_path / "plain.warc"
-    path.write_bytes(
-        record("warcinfo", "i") + record("request", "q1") + record("response", "r1", "WARC-Concurrent-To: <q1>", "WARC-Concurrent-To: <m1>")
-        + record("metadata", "m1") + record("metadata", "m2", "WARC-Concurrent-To: <r1>") + record("request", "lost") + record("resource", "r2")
+    got = _captured(
+        spark, tmp_path / "plain.warc", ("warcinfo", "i"), ("request", "q1"), ("response", "r1", "q1", "m1"), ("metadata", "m1"),
+        ("metadata", "m2", "r1"), ("request", "lost"), ("resource", "r2"),
     )
-    archives = spark.createDataFrame([(path.as_uri(),)], "address string")
-    got = {r.capture_id: (r.response and r.response.type, r.requests, r.metadata_records) for r in warc.captures(warc.read(archives)).collect()}
     assert got == {"r1": ("response", 1, 2), "r2": ("resource", None, None), "lost": (None, 1, 0)}
 
 
+def test_any_identifier_and_chains_lead_to_the_response(spark, tmp_path):
+    second = _captured(spark, tmp_path / "a.warc", ("request", "q", "m", "r"), ("response", "r"), ("metadata", "m", "r"))
+    assert second == {"r": ("response", 1, 1)}
+    chain = _captured(
+        spark, tmp_path / "b.warc", ("response", "r1"), ("metadata", "m1", "m2"), ("metadata", "m2", "m3"), ("metadata", "m3", "q1"), ("request", "q1", "r1"),
+        ("response", "r2", "q2"), ("request", "q2", "m4"), ("metadata", "m4"), ("metadata", "m5", "r2", "r1"),
+    )
+    assert chain == {"r1": ("response", 1, 4), "r2": ("response", 1, 1)}
+    absent = _captured(
+        spark, tmp_path / "c.warc", ("request", "q1", "gone"), ("metadata", "m1", "q1"), ("request", "q2", "m2"), ("metadata", "m2", "q2"),
+        ("request", "q3", "q3"), ("response", "r"), ("response", "r", "q4"), ("request", "q4"), ("request", "q4"),
+    )
+    got = _captured(spark, tmp_path / "d.warc", ("response", "r"), ("response", "r"), ("request", "q", "r"))
+    assert absent == {"gone": (None, 1, 1), "m2": (None, 1, 1), "q3": (None, 1, 0), "r": ("response", 2, 0)}
+    assert got == {"r": ("response", 1, 0)}
+
+
+def test_a_record_without_length_is_an_error(tmp_path):
+    path = tmp_path / "x.warc"
+    path.write_bytes(_record("response", "r").replace(b"Content-Length: 2", b"Other: 2"))
+    with pytest.raises(ValueError, match="content-length"):
+        list(warc.records(path.as_uri()))
+
+
 def test_a_cut_archive_is_an_error(tmp_path):
     whole = warc._transaction("n", 1, "u", b"x" * 500, "d", None, None)
     path = tmp_path / "cut.warc.gz"

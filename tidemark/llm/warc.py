@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import files
+from tidemark.llm.components import components
 from tidemark.llm.tables import stored
 from tidemark.llm.words import slices
 
@@ -157,6 +158,8 @@ def records(address: str) -> Iterator[dict]:
     while (head := stream.until(b"\r\n\r\n")) is not None:
         fields = _fields(head)
         named = dict(fields)
+        if "content-length" not in named:
+            raise ValueError(f"a record without content-length: {address}")
         block = stream.take(int(named["content-length"]))
         stream.take(4)
         kind, row = named.get("warc-type", ""), {}
@@ -211,29 +214,49 @@ def read(archives: DataFrame) -> DataFrame:
     return archives.select("address").repartition(max(1, archives.count())).mapInArrow(task, _SCHEMA)
 
 
+def _capture_ids(names: DataFrame, responses: DataFrame, rest: DataFrame) -> DataFrame:
+    """``record_id, capture_id`` of requests and metadata; ``names`` are (record_id, named) of all records."""
+    back = names.select(F.col("named").alias("record_id"), F.col("record_id").alias("named"))
+    links = names.join(rest, "record_id", "left_semi").unionByName(back.join(rest, "record_id", "left_semi")).distinct()
+    known = responses.select(F.col("record_id").alias("named"))
+    direct = stored(links.join(known, "named").groupBy("record_id").agg(F.min("named").alias("capture_id")), "direct-captures")
+    alone = stored(rest.join(direct, "record_id", "left_anti"), "records-without-response")
+    if alone.isEmpty():
+        return direct
+    through = direct.select(F.col("record_id").alias("named"), F.col("capture_id").alias("__there"))
+    steps = links.join(alone, "record_id", "left_semi").join(through, "named", "left")
+    tied = components(steps.select(F.col("record_id").alias("a"), F.coalesce("__there", "named").alias("b")))
+    is_response, is_rest = (x.select(F.col("record_id").alias("node"), F.lit(True).alias(n)) for x, n in ((responses, "__response"), (rest, "__rest")))
+    roots = (
+        tied.join(is_response, "node", "left").join(is_rest, "node", "left").groupBy("component")
+        .agg(F.min(F.when(F.col("__response"), F.col("node"))).alias("response"), F.min(F.when(F.col("__rest").isNull(), F.col("node"))).alias("missing"))
+    )
+    found = tied.join(roots, "component").select(F.col("node").alias("record_id"), F.coalesce("response", "missing", "component").alias("capture_id"))
+    others = alone.join(found, "record_id", "left").select("record_id", F.coalesce("capture_id", "record_id").alias("capture_id"))
+    return direct.unionByName(others)
+
+
 def captures(all_records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture_id, response, request, metadata``, and the numbers ``requests, metadata_records``.
 
-    Requests and metadata follow the identifier they name, or the response that names them. Of several requests or
-    metadata records that of the smallest identifier is in the row, and their number beside it. Records that repeat a
-    response's identifier are captures of their own; requests and metadata without a response make a row without one.
+    Requests and metadata follow any identifier they name to a response, or the response that names them, the smallest
+    identifier if there are several; those that have none so follow chains of requests and metadata that name each other,
+    in either direction. Of several requests or metadata records that of the smallest identifier is in the row, and their
+    number beside it. Records that repeat a response's identifier are captures of their own; requests and metadata that
+    lead to no response make a row without one, together if they name each other or the same absent record.
     """
     is_response = F.col("type").isin("response", "revisit", "resource")
-    responses = all_records.where(is_response)
-    named_by = responses.where(F.size("concurrent_to") > 0).select(
-        F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("__named_by")
-    )
-    rest = all_records.where(F.col("type").isin("request", "metadata")).drop("payload")
-    rest = rest.join(named_by.groupBy("record_id").agg(F.min("__named_by").alias("__named_by")), "record_id", "left")
-    keyed = rest.withColumn("capture_id", F.coalesce("__named_by", F.try_element_at("concurrent_to", F.lit(1)), "record_id"))
-    one = {
-        "request": F.struct("record_id", "uri", "date", "first_line"),
-        "metadata": F.struct("record_id", "uri", "date", F.map_entries("notes").alias("notes")),
-    }
+    kept = ("type", "record_id", "concurrent_to", "uri", "date", "first_line")
+    wanted = all_records.where(is_response | F.col("type").isin("request", "metadata"))
+    named = stored(wanted.select(*kept, F.when(~is_response, F.map_entries("notes")).alias("notes")), "records")
+    ids = [named.where(x).select("record_id").distinct() for x in (is_response, ~is_response)]
+    names = named.select("record_id", F.explode("concurrent_to").alias("named"))
+    keyed = named.where(~is_response).join(_capture_ids(names, *ids), "record_id")
+    one = {"request": F.struct("record_id", "uri", "date", "first_line"), "metadata": F.struct("record_id", "uri", "date", "notes")}
     aggregates = [F.min(F.when(F.col("type") == k, s)).alias(k) for k, s in one.items()]
     aggregates += [F.count(F.when(F.col("type") == k, 1)).alias(f"{k}s") for k in one]
     companions = keyed.groupBy("capture_id").agg(*aggregates).withColumnRenamed("metadatas", "metadata_records")
-    kept = ("record_id", "type", "uri", "date", "fields", "first_line", "payload", "payload_bytes", "payload_digest")
-    whole = responses.select(F.col("record_id").alias("capture_id"), F.struct(*kept).alias("response"))
+    whole_record = ("record_id", "type", "uri", "date", "fields", "first_line", "payload", "payload_bytes", "payload_digest")
+    whole = all_records.where(is_response).select(F.col("record_id").alias("capture_id"), F.struct(*whole_record).alias("response"))
     joined = whole.join(companions, "capture_id", "full")
     return joined.select("capture_id", "response", "request", "metadata", "requests", "metadata_records")
