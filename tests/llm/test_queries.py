@@ -7,7 +7,7 @@ from helpers import DOCUMENT, alphanumeric, linked_components, shingle_set, spac
 from oracle_check import connect, differences
 
 import corpus_pipeline
-from tidemark.llm import queries
+from tidemark.llm import mixing, queries, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,6 +60,23 @@ def test_pipeline_stages(spark):
     assert sum(taken.values()) == pytest.approx(1.5 * total, rel=0.1)
 
 
+def test_token_files_keep_the_training_order(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    order = [r.doc_id for r in mixing.mixed(docs).collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files
+    try:
+        mix = tables.stored(stages["mixing"](spark, docs, SF), "mixing")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {r.f for r in mix.selectExpr("_metadata.file_name AS f").collect()}
+    assert len(files) > 1 and order != sorted(order)
+    found = stages["token files"](spark, mix, SF).orderBy("start").collect()
+    assert [r.doc_id for r in found] == order
+    own = spark.createDataFrame([(i, f"text {i}", "m") for i in (5, 3, 9, 3)], "doc_id long, text string, _metadata string")
+    assert [r.doc_id for r in stages["token files"](spark, own.coalesce(1), SF).orderBy("start").collect()] == [5, 3, 9, 3]
+
+
 def test_stages_take_odd_rows(spark, tmp_path):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(1, text, None, "s", 5), (2, text + " end", "en", None, None), (2, text + " end", "en", None, None), (None, None, None, None, None), (4, "", "de", "s", 0)]

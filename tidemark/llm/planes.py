@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import files
@@ -132,19 +132,23 @@ class PlaneReader:
 
 def write(
     docs: DataFrame, tokenizer: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", bits: bool = False,
-    block_ids: int = BLOCK_IDS, special_as_text: bool = False,
+    block_ids: int = BLOCK_IDS, special_as_text: bool = False, order: Sequence[Column] = (),
 ) -> DataFrame:
-    """Encode every text, put ``end_id`` behind it, and write the ids in ascending document id into plane files.
+    """Encode every text, put ``end_id`` behind it, and write the ids into plane files, in ascending document id or by
+    the columns of ``order`` instead, such as ``tables.written_order``.
 
     Returns the manifest, a written table with a row per file: ``file`` (its place in the order), ``address``, ``docs``,
-    ``ids`` and ``start``, the ids of all earlier files. Null texts are empty; a null id comes first; rows of one id are
-    in the order of their texts, and repeated rows are all written. Each file is one task's range of ids.
+    ``ids`` and ``start``, the ids of all earlier files. Null texts are empty; a null id comes first; rows that are equal
+    in the order are sorted by id and text, and repeated rows are all written. Each file is one task's range of the order.
     """
     spark = docs.sparkSession
     base = files.folder(spark, "planes")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // DOCS_PER_FILE)
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
-    ordered = rows.repartitionByRange(n, "doc").sortWithinPartitions("doc", "text").withColumn("file", F.spark_partition_id())
+    doc = F.col(f"`{doc_id}`").cast("long").alias("doc")
+    keys = [c.alias(f"key{i}") for i, c in enumerate(order or (doc,))]
+    rows, by = docs.select(doc, F.col(f"`{text}`").alias("text"), *keys), [f"key{i}" for i in range(len(keys))]
+    sorted_ = rows.repartitionByRange(n, *by).sortWithinPartitions(*by, "doc", "text")
+    ordered = sorted_.select("doc", "text", F.spark_partition_id().alias("file"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to, file = None, None

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,21 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def written_order(frame: DataFrame) -> list[Column]:
+    """Columns that sort the rows of a frame as Spark wrote them: by the number of the file, its name, and the place in it.
+
+    Reading packs files by their size, so the rows themselves come in another order. A frame that does not come from
+    files (or has a column ``_metadata`` of its own) is in the order of its partitions.
+    """
+    name, place = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    try:
+        frame.select(name, place).schema  # noqa: B018
+    except AnalysisException:
+        return [F.monotonically_increasing_id()]
+    number = F.regexp_extract(name, "^part-(\\d+)", 1).try_cast("long")
+    return [number, name, place]
+
+
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
