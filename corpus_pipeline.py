@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, mixing, planes, toxicity
 from tidemark.llm.queries import byte_bpe
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import stored, written_order
 
 
 def _columns(frame: DataFrame, docs: DataFrame) -> DataFrame:
@@ -43,8 +43,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of each document, read back from its plane file."""
-    return planes.read(planes.write(docs, byte_bpe(), end_id=2))
+    """``doc_id, start, n_tokens, ids_crc32`` of each take of a document, read back from its plane file.
+
+    The files hold the takes in the training order, which is that of the rows that the mix wrote.
+    """
+    return planes.read(planes.write(docs, byte_bpe(), end_id=2, order=written_order(docs)))
 
 
 STAGES = [
