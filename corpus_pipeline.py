@@ -2,7 +2,7 @@
 sources are mixed to their target weights, and what is left becomes token files.
 
 ``STAGES`` are (name, function of session, documents and table folder). Each works on all that its predecessor kept and
-decides for itself: null texts are kept by the filters (they have no words to object to), but never drawn by the mix, and
+decides for itself, with batches of few rows for Python (``few_rows``), as executors hold them twice: null texts are kept by the filters (they have no words to object to), but never drawn by the mix, and
 so the token files have none. All but the last return the columns of ``documents``.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, mixing, planes, toxicity
 from tidemark.llm.queries import byte_bpe
-from tidemark.llm.tables import stored, written_order
+from tidemark.llm.tables import few_rows, stored, written_order
 
 
 def _columns(frame: DataFrame, docs: DataFrame) -> DataFrame:
@@ -22,6 +22,7 @@ def _columns(frame: DataFrame, docs: DataFrame) -> DataFrame:
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose severity grade is 0; the model is fitted on the labelled ones of ``docs``."""
+    few_rows(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     names = ("__n_words", "__severity", "__toxic_chance", "__grade")
     return _columns(toxicity.scored(docs, model, names=names).where("__grade = 0"), docs)
@@ -34,6 +35,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words less than a twentieth stands in benchmark windows."""
+    few_rows(spark)
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -47,6 +49,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The files hold the takes in the training order, which is that of the rows that the mix wrote.
     """
+    few_rows(spark)
     return planes.read(planes.write(docs, byte_bpe(), end_id=2, order=written_order(docs)))
 
 

@@ -106,3 +106,46 @@ def test_flat_counts_by_document(spark, library):
     assert sorted(((r.doc_id, r.n_tokens) for r in got.collect()), key=repr) == sorted(((i, len(_ids(library, t))) for i, t in rows), key=repr)
     with pytest.raises(OverflowError):
         flatfiles.write(documents(spark, rows), byte_bpe(), 70_000)
+
+
+def test_tasks_give_freed_memory_back_and_keep_their_rows(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import tables
+
+    seen = []
+    library = type("Library", (), {"malloc_trim": staticmethod(lambda pad: seen.append(("trim", pad)))})
+    monkeypatch.setattr(tables.ctypes, "CDLL", lambda name: library)
+
+    def task(batches):
+        for batch in batches:
+            seen.append(batch.num_rows)
+            yield batch
+
+    batches = [pa.RecordBatch.from_pydict({"doc_id": list(range(n))}) for n in (2, 0, 3)]
+    assert list(tables.lean(task)(iter(batches))) == batches
+    assert seen == [2, 0, 3, ("trim", 0)]
+
+
+def test_batches_of_few_rows_hold_for_frames_that_run_later(spark):
+    from tidemark.llm import tables
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    try:
+        spark.conf.set(name, "5000")
+        frame = spark.range(0, 4000, 1, 1).mapInArrow(sizes, "n long")
+        tables.few_rows(spark)
+        assert max(r.n for r in frame.collect()) == 1000
+        spark.conf.set(name, "200")
+        tables.few_rows(spark)
+        assert spark.conf.get(name) == "200"
+    finally:
+        spark.conf.set(name, before)

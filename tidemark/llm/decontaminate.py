@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import files
 from tidemark.llm.automaton import SuffixAutomaton
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import lean, stored
 from tidemark.llm.words import ALPHANUMERIC, Words, hashed_words, shingles, slices
 
 WINDOW = 13
@@ -164,7 +164,7 @@ def matches(
             for part, one in zip(held, found, strict=True):
                 yield pa.RecordBatch.from_arrays([*part.columns, *one.columns()], schema.names)
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(lean(scan), schema)
 
 
 def _blocks(parts: Iterator[pa.RecordBatch], text: str, least_bytes: int) -> Iterator[list[pa.RecordBatch]]:
@@ -210,7 +210,7 @@ def _shards(items: DataFrame, item: str, item_text: str, window: int, shard_byte
         if held:
             yield written()
 
-    return stored(distinct.repartition(1 + size // shard_bytes).mapInArrow(task, "address string"), "automata-addresses")
+    return stored(distinct.repartition(1 + size // shard_bytes).mapInArrow(lean(task), "address string"), "automata-addresses")
 
 
 def _hit(spans: str) -> F.Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import likely, released, small_batches, stored
+from tidemark.llm.tables import lean, likely, released, small_batches, stored
 from tidemark.llm.words import SPACED, hashed_words, mixed, shingles, slices
 
 SHINGLE_WORDS = 5
@@ -68,7 +68,7 @@ def _mapped(docs: DataFrame, task, schema: str) -> DataFrame:
             for part in slices(batch, "text"):
                 yield task(part)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def sketches(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
@@ -137,7 +137,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
                         keep.append(shared > 0 and 7 * shared >= 3 * (len(x) + len(y)))
                     yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(task, "a long, b long").distinct()
+    return both.select("a", "b", "a_text", "b_text").mapInArrow(lean(task), "a long, b long").distinct()
 
 
 def _led(nodes: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def _candidates(tiles: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     spread = tiles.repartition("token", "tile", "i", "j").sortWithinPartitions("token", "tile", "i", "j")
-    return spread.mapInArrow(task, "a long, b long").distinct()
+    return spread.mapInArrow(lean(task), "a long, b long").distinct()
 
 
 def _links(docs: DataFrame, k: int, frequent: int, block_rows: int) -> tuple[DataFrame, DataFrame]:

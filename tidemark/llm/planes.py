@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import files
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import lean, stored
 from tidemark.llm.tokens import Ids, encoder
 from tidemark.llm.words import slices
 
@@ -162,7 +162,7 @@ def write(
             n_docs, n_ids = to.close()
             yield pa.RecordBatch.from_pydict({"file": pa.array([file], pa.int64()), "address": [to.address], "docs": [n_docs], "ids": [n_ids]})
 
-    manifest = stored(ordered.mapInArrow(task, "file long, address string, docs long, ids long"), "planes-manifest")
+    manifest = stored(ordered.mapInArrow(lean(task), "file long, address string, docs long, ids long"), "planes-manifest")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
@@ -187,5 +187,5 @@ def read(manifest: DataFrame) -> DataFrame:
                 columns = zip(*out, strict=True) if out else [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.select("address", "start").repartition(max(1, manifest.count())).mapInArrow(task, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return manifest.select("address", "start").repartition(max(1, manifest.count())).mapInArrow(lean(task), "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.tables import lean
 from tidemark.llm.words import ALPHANUMERIC, BYTE_VALUE, Words, fold_bytes, mixed, run_hashes, slices, text_bytes, text_ends, word_runs
 
 #: Labelled documents of each class that a model is fitted on, at most, and features it keeps, at most.
@@ -110,7 +111,7 @@ def _telling(sample: DataFrame, most: int) -> np.ndarray:
     totals = sample.groupBy().agg(F.count(F.when(F.col("toxic"), 1)), F.count(F.when(~F.col("toxic"), 1))).first()
     if not all(totals):
         return np.zeros(0, np.uint64)
-    counts = sample.mapInArrow(count, "feature long, t long, f long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
+    counts = sample.mapInArrow(lean(count), "feature long, t long, f long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
     n_toxic, n_other = totals
     with_it, without = F.col("t") + F.col("f"), F.lit(n_toxic + n_other) - F.col("t") - F.col("f")
     term = lambda seen, row, column: F.when(seen > 0, seen * F.log(seen * (n_toxic + n_other) / (row * column))).otherwise(0.0)
@@ -137,7 +138,7 @@ def _matrix(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.nda
                 lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(v)) for v in (number.astype(np.int64), x)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), *lists], ["doc_id", "toxic", "number", "x"])
 
-    rows = sample.select("doc_id", "toxic", "text").mapInArrow(sparse, "doc_id long, toxic boolean, number array<long>, x array<double>").collect()
+    rows = sample.select("doc_id", "toxic", "text").mapInArrow(lean(sparse), "doc_id long, toxic boolean, number array<long>, x array<double>").collect()
     rows.sort(key=lambda r: (r.doc_id, r.toxic, r.number, r.x))
     table = np.zeros((len(rows), len(features)))
     for i, r in enumerate(rows):
@@ -227,4 +228,4 @@ def scored(docs: DataFrame, model: Model, text: str = "text", names: tuple[str,
                 added = [words.counts.astype(np.int64), chances.sum(axis=1), chances[:, 0], (chances >= 0.5).sum(axis=1).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, added)], [*part.schema.names, *names])
 
-    return docs.mapInArrow(task, schema)
+    return docs.mapInArrow(lean(task), schema)
