@@ -48,6 +48,34 @@ def test_forgetting_and_other_rules(library, monkeypatch):
     assert small.encode(pa.array(["one two", None])).counts.tolist() == [len(_ids(library, "one two")), 0]
 
 
+def test_known_pieces_are_few_bytes_and_come_in_small_batches(library, monkeypatch):
+    import gc
+    import tracemalloc
+
+    words = [f" w{i * 7919 % 100_003}x" for i in range(60_000)]
+    texts = pa.array(["".join(words[i : i + 1000]) for i in range(0, len(words), 1000)] + ["".join(words[::-7])])
+    small, most = Encoder(byte_bpe()), 0
+
+    class Counting:
+        def encode_batch_fast(self, given, **how):
+            nonlocal most
+            most = max(most, len(given))
+            return library.encode_batch_fast(given, **how)
+
+    monkeypatch.setattr(small, "_tokenizer", Counting())
+    Encoder(byte_bpe()).encode(texts)  # what all encoders share
+    tracemalloc.start()
+    got = small.encode(texts)
+    same = small.encode(texts)
+    want = [i for t in texts.to_pylist() for i in _ids(library, t)]
+    assert got.ids.tolist() == want and same.ids.tolist() == want
+    del got, same, want
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert most <= 4096 and held < 80 * len(words)
+
+
 @pytest.mark.parametrize("bits", [False, True])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 1000])
 def test_planes_are_undone(bits, n):

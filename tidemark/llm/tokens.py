@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from tidemark.llm.words import BYTE_VALUE, run_hashes, text_bytes, text_ends
 
 #: Pieces kept; beyond that the cache starts anew.
 CACHE_PIECES = 1_000_000
+#: Pieces that the library encodes at a time; what it returns takes far more memory than their ids.
+LEARN_PIECES = 4096
 
 
 def _may_end_white_space() -> np.ndarray:
@@ -79,25 +82,35 @@ class Encoder:
         return plain and pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and pre.get("add_prefix_space") is False
 
     def _forget(self) -> None:
-        self._slots: dict[int, int] = {}
-        self._starts, self._lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self._hashes = np.zeros(0, np.uint64)  # of the pieces known, in order
+        self._starts, self._lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)  # of their ids in the pool
         self._pool, self._used = np.zeros(4096, np.uint32), 0
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        new = _joined(self._library(pieces))
-        n, size = len(self._slots), len(new.ids)
-        while n + len(hashes) > len(self._starts):
-            self._starts, self._lengths = (np.concatenate((x, np.zeros_like(x))) for x in (self._starts, self._lengths))
-        while self._used + size > len(self._pool):
-            self._pool = np.concatenate((self._pool, np.zeros_like(self._pool)))
-        self._starts[n : n + len(hashes)] = new.offsets[:-1] + self._used
-        self._lengths[n : n + len(hashes)] = new.counts
-        self._pool[self._used : self._used + size] = new.ids
-        self._used += size
-        self._slots.update(zip(hashes, range(n, n + len(hashes)), strict=True))
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        """Encode the pieces from ``first`` to ``last``, both included; ``hashes`` are in order, and none is known yet."""
+        starts, lengths = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int32)
+        for i in range(0, len(hashes), LEARN_PIECES):
+            these = slice(i, i + LEARN_PIECES)
+            pieces = [data[a : b + 1].tobytes().decode() for a, b in zip(first[these].tolist(), last[these].tolist(), strict=True)]
+            new = [e.ids for e in self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            counts = np.fromiter(map(len, new), np.int32, len(new))
+            size = int(counts.sum())
+            if self._used + size > len(self._pool):
+                self._pool = np.concatenate((self._pool[: self._used], np.empty(size + self._used // 4, np.uint32)))
+            starts[these], lengths[these] = self._used + np.cumsum(counts) - counts, counts
+            self._pool[self._used : self._used + size] = np.fromiter(chain.from_iterable(new), np.uint32, size)
+            self._used += size
+        place = np.searchsorted(self._hashes, hashes)
+        self._hashes, self._starts = np.insert(self._hashes, place, hashes), np.insert(self._starts, place, starts)
+        self._lengths = np.insert(self._lengths, place, lengths)
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self._hashes):
+            return np.zeros(len(hashes), bool)
+        return self._hashes[np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)] == hashes
 
     def encode(self, texts: pa.Array) -> Ids:
         """The ids of each text; null is encoded as the empty text."""
@@ -130,15 +143,13 @@ class Encoder:
         first = np.flatnonzero(starts)
         last = np.append(first[1:], len(data)) - 1
         distinct, example, inverse = np.unique(run_hashes(data, first, last, BYTE_VALUE), return_index=True, return_inverse=True)
-        if len(self._slots) > CACHE_PIECES:
+        if len(self._hashes) > CACHE_PIECES:
             self._forget()
-        keys, slots = distinct.tolist(), self._slots
-        new = [i for i, h in enumerate(keys) if h not in slots]
-        if new:
-            ends = zip(first[example[new]].tolist(), last[example[new]].tolist(), strict=True)
-            self._learn([keys[i] for i in new], [data[a : b + 1].tobytes().decode() for a, b in ends])
-        slot = np.fromiter(map(slots.__getitem__, keys), np.int64, len(keys))[inverse]
-        lengths = self._lengths[slot]
+        new = np.flatnonzero(~self._known(distinct))
+        if len(new):
+            self._learn(distinct[new], data, first[example[new]], last[example[new]])
+        slot = np.searchsorted(self._hashes, distinct)[inverse]
+        lengths = self._lengths[slot].astype(np.int64)
         ends = np.cumsum(lengths)
         ids = self._pool[np.repeat(self._starts[slot] - (ends - lengths), lengths) + np.arange(ends[-1])]
         before = np.concatenate(([0], ends))
