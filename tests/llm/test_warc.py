@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import pytest
 from helpers import documents
@@ -83,5 +84,43 @@ def test_a_cut_archive_is_an_error(tmp_path):
         list(warc.records(path.as_uri()))
 
 
+def test_what_stands_behind_a_member_is_not_copied_for_each(tmp_path, monkeypatch):
+    data = b"".join(warc._transaction("n", i, "u", b"%d" % i, "d", None, None) for i in range(300))
+    path, given = tmp_path / "many.warc.gz", []
+    path.write_bytes(data)
+
+    class Counting:
+        def __init__(self, bits):
+            self._own = zlib.decompressobj(bits)
+
+        def decompress(self, packed, most):
+            given.append(len(packed))
+            return self._own.decompress(packed, most)
+
+        def __getattr__(self, name):
+            return getattr(self._own, name)
+
+    monkeypatch.setattr(warc, "zlib", type("Zlib", (), {"decompressobj": Counting}))
+    read = [r for r in warc.records(path.as_uri()) if r["type"] == "response"]
+    assert [r["payload"] for r in read] == [b"%d" % i for i in range(300)]
+    assert sum(given) < len(data) + 900 * 10_000  # not the rest of the file for each of 900 members
+
+
+@pytest.mark.parametrize("feed", [1, 7, 1 << 13])
+@pytest.mark.parametrize("chunk", [3, 1 << 20])
+def test_records_do_not_depend_on_how_archives_are_cut(tmp_path, monkeypatch, feed, chunk):
+    path = tmp_path / "some.warc.gz"
+    path.write_bytes(b"".join(warc._transaction("n", i, f"u{i}", bytes(range(256)) * i, "d", None, None) for i in range(4)))
+    want = list(warc.records(path.as_uri()))
+    assert [r["type"] for r in want] == ["request", "response", "metadata"] * 4
+    monkeypatch.setattr(warc, "_FEED_BYTES", feed)
+    monkeypatch.setattr(warc, "_READ_BYTES", chunk)
+    monkeypatch.setattr(warc, "_WAIT_BYTES", 5)
+    assert list(warc.records(path.as_uri())) == want
+    path.write_bytes(path.read_bytes()[:-30])
+    with pytest.raises(ValueError, match="ends inside"):
+        list(warc.records(path.as_uri()))
+
+
 def test_no_pages(spark):
     assert warc.captures(warc.read(warc.write(documents(spark, [], SCHEMA)))).collect() == []

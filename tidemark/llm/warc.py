@@ -26,6 +26,8 @@ REVISIT_BYTES = 100
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 _READ_BYTES = 1 << 20
+#: Packed bytes given to a member at a time: what is behind its end is copied, once for each member.
+_FEED_BYTES = 1 << 13
 _WAIT_BYTES = 1 << 26
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
@@ -108,23 +110,27 @@ class _Stream:
     def __init__(self, address: str) -> None:
         self._in = files.opened(address)
         self._held = bytearray()
-        start = self._in.read(_READ_BYTES)
-        self._packed = start[:2] == b"\x1f\x8b"
-        self._raw, self._unpack = start, zlib.decompressobj(31)
+        self._raw, self._fed, self._rest = memoryview(self._in.read(_READ_BYTES)), 0, b""
+        self._packed = self._raw[:2] == b"\x1f\x8b"
+        self._unpack = zlib.decompressobj(31)
 
     def _more(self) -> bool:
-        if not self._raw:
-            self._raw = self._in.read(_READ_BYTES)
-            if not self._raw:
+        if self._fed == len(self._raw) and not self._rest:
+            self._raw, self._fed = memoryview(self._in.read(_READ_BYTES)), 0
+            if not len(self._raw):
                 return False
         if not self._packed:
             self._held += self._raw
-            self._raw = b""
+            self._fed = len(self._raw)
             return True
-        self._held += self._unpack.decompress(self._raw, _WAIT_BYTES)
-        self._raw = self._unpack.unconsumed_tail
+        fed = self._rest
+        if not fed:
+            fed = self._raw[self._fed : self._fed + _FEED_BYTES]
+            self._fed += len(fed)
+        self._held += self._unpack.decompress(fed, _WAIT_BYTES)
+        self._rest = self._unpack.unconsumed_tail
         if self._unpack.eof:
-            self._raw, self._unpack = self._unpack.unused_data, zlib.decompressobj(31)
+            self._rest, self._unpack = self._unpack.unused_data, zlib.decompressobj(31)
         return True
 
     def until(self, mark: bytes) -> bytes | None:
@@ -149,7 +155,7 @@ class _Stream:
 
 def _fields(lines: bytes) -> list[tuple[str, str]]:
     text = lines.decode("utf-8", "replace").replace("\r\n ", " ").replace("\r\n\t", " ")
-    return [(k.strip().lower(), v.strip()) for k, colon, v in (line.partition(":") for line in text.split("\r\n")) if colon]
+    return [(k.strip().lower(), v.strip()) for line in text.split("\r\n") for k, colon, v in (line.partition(":"),) if colon]
 
 
 def records(address: str) -> Iterator[dict]:
@@ -165,11 +171,10 @@ def records(address: str) -> Iterator[dict]:
         kind, row = named.get("warc-type", ""), {}
         if named.get("content-type", "").startswith("application/http"):
             http, _, payload = block.partition(b"\r\n\r\n")
-            sent = dict(_fields(http))
             if kind == "response":
                 row = {"payload": payload, "payload_bytes": len(payload), "payload_digest": hashlib.sha256(payload).hexdigest()}
             elif kind == "revisit":
-                row = {"payload_bytes": int(sent.get("content-length", 0)), "payload_digest": named.get("warc-payload-digest", "").partition(":")[2] or None}
+                row = {"payload_bytes": int(dict(_fields(http)).get("content-length", 0)), "payload_digest": named.get("warc-payload-digest", "").partition(":")[2] or None}
             row |= {"first_line": http.partition(b"\r\n")[0].decode("utf-8", "replace")}
         elif named.get("content-type", "") == "application/warc-fields":
             row = {"notes": _fields(block)}
