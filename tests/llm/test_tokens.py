@@ -76,6 +76,51 @@ def test_known_pieces_are_few_bytes_and_come_in_small_batches(library, monkeypat
     assert most <= 4096 and held < 80 * len(words)
 
 
+def _counting(library, given):
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            given.append(len(texts))
+            return library.encode_batch_fast(texts, **how)
+
+    return Counting()
+
+
+def test_new_pieces_go_to_the_library_many_in_one_text(library, monkeypatch):
+    some, given = Encoder(byte_bpe()), []
+    monkeypatch.setattr(some, "_tokenizer", _counting(library, given))
+    texts = [" ".join(f"w{i}é, x{i}ß" for i in range(a, a + 100)) for a in range(0, 1000, 100)] + ["ends white\n", "\xa0 b", " "]
+    got = some.encode(pa.array(texts))
+    assert got.ids.tolist() == [i for t in texts for i in _ids(library, t)]
+    assert sum(given) < 40 and len(some._hashes) > 2000  # letters that end in a byte of white space are no white space
+
+
+def test_pieces_beside_white_space_and_letters_like_it(library):
+    white = [*map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])]
+    like = ["à", "é", "ß", "Р", "р", "ࠀ", "老", "䀀", "\u1fa0", "\u200b", "\u205e", "\u16a0", "𐀀", "𝂠"]
+    texts = [t for c in [*white, *like] for d in ("b", c, *white[:3]) for t in (f"a{c} {d}", f"{c} {d}{c}", f" {c}{d} c {c}", f"{d}{c}  {c} c")]
+    some = Encoder(byte_bpe())
+    for _ in range(2):
+        got = some.encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert got.ids[got.offsets[i] : got.offsets[i + 1]].tolist() == _ids(library, text)
+
+
+@pytest.mark.parametrize("added", ["one two", "wo", " two", None])
+def test_tokens_of_other_bytes_than_the_pieces(tmp_path, added):
+    """A vocabulary without some bytes, and added tokens that would be found in texts put together of pieces."""
+    from tokenizers import AddedToken, Tokenizer, models, pre_tokenizers
+
+    letters = {c: i for i, c in enumerate("Ġonetwx")}
+    small = Tokenizer(models.BPE({**letters, "on": 7}, [("o", "n")]))
+    small.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    if added:
+        small.add_tokens([AddedToken(added, lstrip=True, rstrip=True)])
+    small.save(str(tmp_path / "small.json"))
+    texts = ["x one", "x two", "one", "two one", "zz one zz", "one\n two", "wz two x", "", "zz", "x one two"]
+    got = Encoder(str(tmp_path / "small.json")).encode(pa.array(texts))
+    assert [got.ids[a:b].tolist() for a, b in zip(got.offsets, got.offsets[1:], strict=False)] == [_ids(small, t) for t in texts]
+
+
 @pytest.mark.parametrize("bits", [False, True])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 1000])
 def test_planes_are_undone(bits, n):

@@ -28,6 +28,15 @@ def _may_end_white_space() -> np.ndarray:
 
 
 _WHITE = _may_end_white_space()
+_BEFORE = np.zeros(256, bool)  # bytes before the last one of wider white space
+_BEFORE[[0x80, 0x81, 0x9A, 0xC2]] = True
+
+
+def _after_white(data: np.ndarray) -> np.ndarray:
+    """For each byte but the first, whether white space may end before it; a letter with such a last byte is none."""
+    white = _WHITE[data[:-1]]
+    white[1:] &= (data[1:-1] < 0x80) | _BEFORE[data[:-2]]
+    return white
 
 
 @dataclass(frozen=True)
@@ -62,8 +71,8 @@ class Encoder:
 
     The byte-level rule without prefix blank never joins what stands before a blank with the blank, unless white space
     stands before it. So a text is cut in front of such blanks, every distinct piece (known by a 64-bit hash of its
-    bytes) is encoded once by the library, and the ids are put together. Texts with a special token, and all texts under
-    any other rule, go to the library whole.
+    bytes) is encoded once by the library, many pieces in one text, and the ids are put together. Texts with a special
+    token, and all texts under any other rule, go to the library whole.
     """
 
     def __init__(self, path: str, special_as_text: bool = False) -> None:
@@ -73,8 +82,19 @@ class Encoder:
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._special = [] if special_as_text else [t.content.encode() for t in added]
         self._cut = self._by_pieces()
+        self._sizes = self._token_bytes() if self._cut else np.zeros(0, np.int64)
         self._forget()
 
+    def _token_bytes(self) -> np.ndarray:
+        """Bytes of each token by its id: a character of a byte-level token is a byte, added tokens are plain text."""
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        sizes = np.full(max(vocabulary.values(), default=-1) + 1, 1 << 40, np.int64)
+        for token, i in vocabulary.items():
+            sizes[i] = len(token) or 1 << 40
+        for i, token in self._tokenizer.get_added_tokens_decoder().items():
+            sizes[i] = len(token.content.encode())
+        return sizes
+
     def _by_pieces(self) -> bool:
         rules = json.loads(self._tokenizer.to_str())
         pre = rules.get("pre_tokenizer") or {}
@@ -89,20 +109,43 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one piece after another, and how many each has.
+
+        Pieces are put together to texts that would be cut into them again, and their tokens dealt to them by their bytes.
+        Where the tokens have other bytes than the pieces, each piece is encoded by itself.
+        """
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        starts = ends[:-1]
+        cuts = starts[(data[starts] != 0x20) | _after_white(data)[starts - 1]].tolist()
+        joined = data.tobytes()
+        ids, _ = self._flat([joined[a:b].decode() for a, b in zip([0, *cuts], [*cuts, len(joined)], strict=True)])
+        reached = np.cumsum(self._sizes[ids])
+        place = np.searchsorted(reached, ends)
+        if len(ids) and reached[-1] == ends[-1] and (reached[place] == ends).all():
+            return ids, np.diff(place, prepend=-1)
+        return self._flat([p.decode() for p in pieces])
+
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one text after another, and how many each has."""
+        lists = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.uint32, counts.sum()), counts
+
     def _learn(self, hashes: np.ndarray, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
         """Encode the pieces from ``first`` to ``last``, both included; ``hashes`` are in order, and none is known yet."""
         starts, lengths = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int32)
+        buffer = data.tobytes()
         for i in range(0, len(hashes), LEARN_PIECES):
             these = slice(i, i + LEARN_PIECES)
-            pieces = [data[a : b + 1].tobytes().decode() for a, b in zip(first[these].tolist(), last[these].tolist(), strict=True)]
-            new = [e.ids for e in self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            counts = np.fromiter(map(len, new), np.int32, len(new))
-            size = int(counts.sum())
-            if self._used + size > len(self._pool):
-                self._pool = np.concatenate((self._pool[: self._used], np.empty(size + self._used // 4, np.uint32)))
+            pieces = [buffer[a : b + 1] for a, b in zip(first[these].tolist(), last[these].tolist(), strict=True)]
+            ids, counts = self._encoded(pieces)
+            if self._used + len(ids) > len(self._pool):
+                self._pool = np.concatenate((self._pool[: self._used], np.empty(len(ids) + self._used // 4, np.uint32)))
             starts[these], lengths[these] = self._used + np.cumsum(counts) - counts, counts
-            self._pool[self._used : self._used + size] = np.fromiter(chain.from_iterable(new), np.uint32, size)
-            self._used += size
+            self._pool[self._used : self._used + len(ids)] = ids
+            self._used += len(ids)
         place = np.searchsorted(self._hashes, hashes)
         self._hashes, self._starts = np.insert(self._hashes, place, hashes), np.insert(self._starts, place, starts)
         self._lengths = np.insert(self._lengths, place, lengths)
@@ -138,7 +181,7 @@ class Encoder:
         if not len(data):
             return Ids(np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64))
         starts = data == 0x20
-        starts[1:] &= ~_WHITE[data[:-1]]
+        starts[1:] &= ~_after_white(data)
         starts[bounds[:-1][bounds[:-1] < len(data)]] = True
         first = np.flatnonzero(starts)
         last = np.append(first[1:], len(data)) - 1
